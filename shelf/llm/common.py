@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,26 @@ def words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """body(value), with value computed once per row even where body is a lambda over an array."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callable[[], Callable]) -> DataFrame:
+    """Columns `kept` as they are, and `added` (name -> SQL type), computed from the remaining columns.
+
+    make() is called once per task and returns a function of a row's remaining values that gives a
+    tuple of the added ones. Kept values never pass through Python objects, so ids keep their type.
+    """
+    kinds = dict(df.dtypes)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [f"`{c}` {t}" for c, t in added.items()])
+    given = [c for c in df.columns if c not in kept]
+    arrow = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
+             "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = make()
+        for batch in batches:
+            rows = [one(*values) for values in zip(*[batch.column(c).to_pylist() for c in given], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept] + [pa.array([r[i] for r in rows], arrow[t]) for i, t in enumerate(added.values())],
+                names=[*kept, *added])
+
+    return df.mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelf.llm import sharding, simhash
+from shelf.llm import bpe, embed_dedup, mixing, quality, sharding, simhash, tokenbin, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,9 +14,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": sharding.op1_sharding,
         "op2_simhash": simhash.op2_simhash,
+        "op3_urlfilter": urlfilter.op3_urlfilter,
+        "op4_quality": quality.op4_quality,
+        "op5_embeddings": embed_dedup.op5_embeddings,
+        "op6_mixing": mixing.op6_mixing,
+        "op9_bpe": bpe.op9_bpe,
+        "op10_tokens": tokenbin.op10_tokens,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL over the same tables."""
-    return {"op1_sharding": sharding.ORACLE}
+    return {"op1_sharding": sharding.ORACLE, "op3_urlfilter": urlfilter.ORACLE, "op4_quality": quality.ORACLE}

@@ -146,7 +146,7 @@ docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id::VARCHAR, '
 {_nodes(shard_tree(SHARDS), 'tree')}, {_nodes(shard_tree(SHARDS + 1), 'grown')},
 {_descent('tree', 'placed')}, {_descent('grown', 'placed_grown')}
 SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'key' AS law, p.child::INT AS shard,
-    row_number() OVER (PARTITION BY p.child ORDER BY ('0x' || substr(md5(k || ':' || text_crc32), 1, 4))::BIGINT % {CHUNKS}, doc_id, text_crc32, size) - 1 AS slot,
+    row_number() OVER (PARTITION BY p.child ORDER BY ('0x' || substr(md5(docs.k || ':' || text_crc32), 1, 4))::BIGINT % {CHUNKS}, doc_id, text_crc32, size) - 1 AS slot,
     g.child::INT AS grown_shard
 FROM docs JOIN placed p USING (rid) JOIN placed_grown g USING (rid)
 """

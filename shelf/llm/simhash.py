@@ -8,15 +8,12 @@ fingerprints, never copies, and components are found without leaving the cluster
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelf.llm.common import cut, read_table
+from shelf.llm.common import cut, map_rows, read_table
 from shelf.llm.components import connected_components
 
 SHINGLE, MAX_BITS = 3, 3
@@ -47,14 +44,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): the fingerprint of each row as a signed long. A null or wordless text has fingerprint 0."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            prints = np.array([fingerprint(t, shingle) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": prints})
-
-    kind = dict(df.dtypes)[id_col]
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, f"doc_id {kind}, fp long")
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return map_rows(rows, ["doc_id"], {"fp": "long"}, lambda: lambda text: (signed(fingerprint(text, shingle)),))
 
 
 def _half(fp: Column, which: int) -> Column:
