@@ -55,11 +55,12 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callable[[], Callable]) -> DataFrame:
+def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callable[[], Callable], rows: int = 0) -> DataFrame:
     """Columns `kept` as they are, and `added` (name -> SQL type), computed from the remaining columns.
 
     make() is called once per task and returns a function of a row's remaining values that gives a
-    tuple of the added ones. Kept values never pass through Python objects, so ids keep their type.
+    tuple of the added ones; with `rows`, a function of lists of up to that many values that gives a
+    list of tuples. Kept values never pass through Python objects, so ids keep their type.
     """
     kinds = dict(df.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [f"`{c}` {t}" for c, t in added.items()])
@@ -70,9 +71,13 @@ def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
-            rows = [one(*values) for values in zip(*[batch.column(c).to_pylist() for c in given], strict=True)]
+            values = [batch.column(c).to_pylist() for c in given]
+            if rows:
+                made = [r for at in range(0, len(batch), rows) for r in one(*[v[at:at + rows] for v in values])]
+            else:
+                made = [one(*v) for v in zip(*values, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array([r[i] for r in rows], arrow[t]) for i, t in enumerate(added.values())],
+                [batch.column(c) for c in kept] + [pa.array([r[i] for r in made], arrow[t]) for i, t in enumerate(added.values())],
                 names=[*kept, *added])
 
     return df.mapInArrow(run, schema)

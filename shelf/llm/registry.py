@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelf.llm import bpe, embed_dedup, mixing, quality, sharding, simhash, tokenbin, urlfilter
+from shelf.llm import bpe, embed_dedup, mixing, pii, quality, sharding, simhash, tokenbin, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op5_embeddings": embed_dedup.op5_embeddings,
         "op6_mixing": mixing.op6_mixing,
+        "op7_toxicity": toxicity.op7_toxicity,
+        "op8_pii": pii.op8_pii,
         "op9_bpe": bpe.op9_bpe,
         "op10_tokens": tokenbin.op10_tokens,
     }
