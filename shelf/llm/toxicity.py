@@ -27,7 +27,9 @@ BUCKETS, STEMS = 1 << 20, (4, 5)
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 8000, 4000
 #: Only features that confirmed texts have this many standard errors more often are used.
 MIN_Z, MIN_TEXTS = 4.0, 4
-STEPS, RATE, DECAY, SEED = 600, 0.05, 3e-4, 11
+STEPS, RATE, DECAY, SEED = 600, 0.05, 1e-4, 11
+#: Share of a text's features that a step sees.
+KEEP = 0.25
 #: Scores from here on are toxic.
 CUT = 0.3
 REMEMBERED = 500_000
@@ -79,11 +81,12 @@ def _presence(texts: list[list[int]], buckets: int) -> np.ndarray:
 
 
 def fit(positive: list[list[int]], unlabelled: list[list[int]], prior: float, *, buckets: int = BUCKETS, steps: int = STEPS, rate: float = RATE,
-        decay: float = DECAY, max_features: int = MAX_FEATURES) -> Model:
+        decay: float = DECAY, keep: float = KEEP, max_features: int = MAX_FEATURES, seed: int = SEED) -> Model:
     """Minimise the non-negative PU risk of a logistic loss over the texts' features.
 
     prior is the share of toxic texts among the unlabelled. Without confirmed or unlabelled texts,
-    or with a prior of 0, nothing can be learnt and every text scores 0.
+    or with a prior of 0, nothing can be learnt and every text scores 0. At last the
+    intercept is set so that the unlabelled texts score the class prior on average.
     """
     if not positive or not unlabelled or not prior > 0:
         return Model()
@@ -109,18 +112,26 @@ def fit(positive: list[list[int]], unlabelled: list[list[int]], prior: float, *,
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -60, 60)))
     soft = lambda x: np.logaddexp(0, x)
+    rng = np.random.default_rng(seed)
     for t in range(1, steps + 1):
-        zp = np.bincount(rp, w[cp], len(positive)) + b
-        zu = np.bincount(ru, w[cu], len(unlabelled)) + b
+        # each step hides most features of each text, so that a few toxic words suffice
+        seen_p, seen_u = rng.random(len(cp)) < keep, rng.random(len(cu)) < keep
+        zp = np.bincount(rp, w[cp] * seen_p, len(positive)) + b
+        zu = np.bincount(ru, w[cu] * seen_u, len(unlabelled)) + b
         # derivatives by score: of the risk as toxic, and of the risk as clean
         as_toxic, as_clean_p, as_clean_u = (sigmoid(zp) - 1) / len(positive), sigmoid(zp) / len(positive), sigmoid(zu) / len(unlabelled)
         clean = soft(zu).mean() - prior * soft(zp).mean()
         gp, gu = (prior * as_toxic - prior * as_clean_p, as_clean_u) if clean >= 0 else (prior * as_clean_p, -as_clean_u)
-        grad = np.append(np.bincount(cp, gp[rp], len(w)) + np.bincount(cu, gu[ru], len(w)), gp.sum() + gu.sum())
+        grad = np.append(np.bincount(cp, gp[rp] * seen_p, len(w)) + np.bincount(cu, gu[ru] * seen_u, len(w)), gp.sum() + gu.sum())
         grad[:-1] += decay * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
+    # the intercept that makes the unlabelled texts' mean score the class prior
+    zu, low, high = np.bincount(ru, w[cu], len(unlabelled)), -40.0, 40.0
+    for _ in range(80):
+        b = (low + high) / 2
+        low, high = (b, high) if sigmoid(zu + b).mean() < prior else (low, b)
     return Model({int(c): float(x) for c, x in zip(chosen, w, strict=True) if x}, float(b))
 
 
