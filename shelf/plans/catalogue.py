@@ -327,19 +327,21 @@ def shared_sections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_BOOK_SQL}, wr AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY least(8, length(word)) DESC, n DESC, word DESC) AS r FROM whole),
-roots AS (SELECT doc_id AS match, md5(string_agg(word, '' ORDER BY r)) AS hex FROM wr WHERE r <= 10 GROUP BY doc_id),
-own AS (SELECT d.doc_id, d.line, d.hex FROM digests d JOIN roots o ON o.match = d.doc_id WHERE o.hex <> d.hex),
+bodies AS (SELECT doc_id, md5(string_agg(word, '' ORDER BY r)) AS hex FROM wr WHERE r <= 10 GROUP BY doc_id),
+roots AS (SELECT doc_id AS match, hex FROM digests WHERE line = 1),
+own AS (SELECT d.doc_id, d.line, d.hex FROM digests d JOIN bodies o ON o.doc_id = d.doc_id WHERE o.hex <> d.hex),
 hits AS (SELECT doc_id, line, hex FROM own WHERE hex IN (SELECT hex FROM roots)),
 firsts AS (SELECT doc_id, hex, min(line) AS line FROM hits GROUP BY ALL),
 parts AS (SELECT h.doc_id, h.line, h.hex, (SELECT count(*) FROM firsts f WHERE f.doc_id = h.doc_id AND f.line < h.line) AS part FROM hits h)
 SELECT p.doc_id AS book, part::INT AS part, {_text64('p.hex')} AS key, match, NOT EXISTS (SELECT 1 FROM own o WHERE o.doc_id = p.doc_id AND o.hex NOT IN (SELECT hex FROM roots)) AS covered
 FROM parts p JOIN roots r ON r.hex = p.hex WHERE (SELECT count(*) FROM firsts f WHERE f.doc_id = p.doc_id) > 1""")
 def compilations(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents made of other documents: lines whose digest is another document's."""
+    """Documents that hold the opening lines of others: each opening line is taken for a book of its own."""
     own, whole = _digested(spark, sf)
     leaves = own.select(F.col("doc_id").alias("book"), F.col("line").cast("long").alias("pos"), F.lit(1).alias("depth"), F.col("digest").alias("key"), F.lit(True).alias("leaf"))
     heads = whole.select(F.col("doc_id").alias("book"), F.lit(0).cast("long").alias("pos"), F.lit(0).alias("depth"), F.col("digest").alias("key"), F.lit(False).alias("leaf"))
-    return fingerprints.compilation_parts(leaves.union(heads), whole.select(F.col("digest").alias("key"), F.col("doc_id").alias("match")))
+    openings = own.where("line = 1").select(F.col("digest").alias("key"), F.col("doc_id").alias("match"))
+    return fingerprints.compilation_parts(leaves.union(heads), openings)
 
 
 # --- text, values, languages ------------------------------------------------------------------
