@@ -33,7 +33,7 @@ def detect_dialect(book_columns: list[str]) -> str:
     return found[0]
 
 
-def _named(df: DataFrame, **columns: str) -> DataFrame:
+def _named(df: DataFrame, /, **columns: str) -> DataFrame:
     """Select by case-insensitive names; a column that the table lacks is null."""
     have = {c.lower(): c for c in df.columns}
     return df.select(*[(F.col(f"`{have[old.lower()]}`") if old.lower() in have else F.lit(None)).alias(new) for new, old in columns.items()])
@@ -48,9 +48,9 @@ class Catalogue:
         self.key = "BookId" if self.dialect == DIALECT_A else "bid"
         self.spark: SparkSession = self.tables["libbook"].sparkSession
 
-    def _table(self, name: str, **columns: str) -> DataFrame:
-        if name in self.tables:
-            return _named(self.tables[name], **columns)
+    def _table(self, table: str, /, **columns: str) -> DataFrame:
+        if table in self.tables:
+            return _named(self.tables[table], **columns)
         return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
 
     def books(self, file_type: str | None = "fb2") -> DataFrame:
@@ -62,9 +62,7 @@ class Catalogue:
     def contributors(self, role: str) -> DataFrame:
         """(book_id, pos, person_id, names) for role author, translator or illustrator, people resolved to their main entry."""
         if self.dialect == DIALECT_A:
-            if role == "illustrator":
-                return self._links("none", "none", None)
-            table, person = ("libavtor", "AvtorId") if role == "author" else ("libtranslator", "TranslatorId")
+            table, person = {"author": ("libavtor", "AvtorId"), "translator": ("libtranslator", "TranslatorId"), "illustrator": ("none", "none")}[role]
             links = self._links(table, person, None)
             people = self._table("libavtorname", person_id="AvtorId", first_name="FirstName", middle_name="MiddleName", last_name="LastName", nick_name="NickName",
                                  uid="uid", email="Email", homepage="Homepage", gender="Gender", master_id="MasterId")
