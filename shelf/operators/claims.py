@@ -104,7 +104,10 @@ def flat_view(rows: DataFrame) -> DataFrame:
 
 def claims_of(rows: DataFrame, fields: list[str]) -> DataFrame:
     """(key columns, field, observation, value as text): all text claims as rows, for integrity checks and edges."""
-    parts = F.array(*[F.transform(F.col(f"claim_{f}"), lambda c, f=f: F.struct(F.lit(f).alias("field"), c["observation"].alias("observation"), c["value"].alias("value"))) for f in fields])
+    def named(field: str) -> Column:
+        return F.transform(F.col(f"claim_{field}"), lambda c: F.struct(F.lit(field).alias("field"), c["observation"].alias("observation"), c["value"].alias("value")))
+
+    parts = F.array(*[named(f) for f in fields])
     return rows.select("locator", F.explode(F.flatten(parts)).alias("c")).select("locator", "c.*")
 
 

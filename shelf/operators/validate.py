@@ -15,10 +15,11 @@ def dangling(rows: DataFrame, dimension: DataFrame, on: list[str]) -> DataFrame:
 
 def undeclared_observations(rows: DataFrame) -> DataFrame:
     """(locator, place, observation): every claim, identity, size, occurrence or relation that names an observation its row does not declare."""
-    places = [c for c in rows.columns if c.startswith("claim_")]
-    parts = [F.transform(F.col(c), lambda x, c=c: F.struct(F.lit(c).alias("place"), x["observation"].alias("observation"))) for c in places]
-    for name, column in (("identity", F.col("identities")), ("size", F.col("artifact.sizes")), ("occurrence", F.col("artifact.occurrences")), ("relation", F.col("relations"))):
-        parts.append(F.transform(column, lambda x, name=name: F.struct(F.lit(name).alias("place"), x["observation"].alias("observation"))))
+    def named(place: str, column: Column) -> Column:
+        return F.transform(column, lambda x: F.struct(F.lit(place).alias("place"), x["observation"].alias("observation")))
+
+    parts = [named(c, F.col(c)) for c in rows.columns if c.startswith("claim_")]
+    parts += [named("identity", F.col("identities")), named("size", F.col("artifact.sizes")), named("occurrence", F.col("artifact.occurrences")), named("relation", F.col("relations"))]
     declared = F.transform("observations", lambda o: o["id"])
     flat = rows.select("locator", declared.alias("_ids"), F.explode(F.flatten(F.array(*parts))).alias("r"))
     return flat.where(~F.array_contains("_ids", F.col("r.observation"))).select("locator", "r.place", "r.observation")
