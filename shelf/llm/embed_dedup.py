@@ -191,3 +191,18 @@ def near_vectors(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The links and component of every vector."""
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs in DuckDB: what the passes must come to wherever they miss no component.
+ORACLE = f"""
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM rows WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.rid, a.vec_id AS src, b.vec_id AS dst FROM good a JOIN good b ON a.rid <> b.rid AND len(a.e) = len(b.e)
+    WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= {THRESHOLD!r}),
+reach AS (SELECT vec_id AS node, vec_id AS to_ FROM good UNION SELECT r.node, l.dst FROM reach r JOIN links l ON l.src = r.to_),
+least AS (SELECT node, min(to_) AS component_id FROM reach GROUP BY node),
+counted AS (SELECT rid, count(*) AS n FROM links GROUP BY rid)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id)::BIGINT AS component_id, vec_id IS NOT DISTINCT FROM coalesce(component_id, vec_id) AS kept
+FROM rows LEFT JOIN counted USING (rid) LEFT JOIN least ON node = vec_id
+"""

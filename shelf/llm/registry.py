@@ -27,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL over the same tables."""
-    return {"op1_sharding": sharding.ORACLE, "op3_urlfilter": urlfilter.ORACLE, "op4_quality": quality.ORACLE}
+    return {"op1_sharding": sharding.ORACLE, "op3_urlfilter": urlfilter.ORACLE, "op4_quality": quality.ORACLE, "op5_embeddings": embed_dedup.ORACLE}
