@@ -38,7 +38,7 @@ class Options:
     keywords_limit: int = 255
     extended: bool = False
     source_library: str = ""
-    last_archive: str = "online"
+    online_archive: str = "online"
 
 
 _SERIES = "array<struct<name:string,number:string,type:bigint,level:bigint>>"
@@ -148,7 +148,7 @@ def multi_series_export(view: DataFrame, options: Options = Options()) -> DataFr
     """(archive, index, book_row, line) with the fields of MULTI_FIELDS."""
     rows = series_rows(view, options)
     line = join_fields(*[F.col(x) for x in (*_COMMON, "lang_field", "rate_field", "keywords_field", "year_field")], cleanse(F.lit(options.source_library)))
-    return rows.select(F.coalesce("locator.source", F.lit(options.last_archive)).alias("archive"), F.coalesce("locator.index", "locator.book_id").alias("index"), "book_row", line.alias("line"))
+    return rows.select(F.when(F.col("locator.kind") == "archive_entry", F.col("locator.source")).otherwise(options.online_archive).alias("archive"), F.coalesce("locator.index", "locator.book_id").alias("index"), "book_row", line.alias("line"))
 
 
 def slice_export(view: DataFrame, where: str | None = None, split_by: str | None = None, options: Options = Options()) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelf.operators.authors import author_suffixes, collision_groups, with_suffixes
+
 DIALECT_A, DIALECT_B = "a", "b"
 #: The dumps that are imported for the second schema.
 IMPORTED_B = ("libavtor.sql", "libavtors.sql", "libbook.sql", "libgenre.sql", "libgenres.sql", "librate.sql", "libseq.sql", "libseqs.sql")
@@ -113,12 +115,23 @@ class Catalogue:
         rows = self._table("libjoinedbooks", event_id="Id", time="Time", bad="BadId", good="GoodId", real="realId")
         return events_by_participant(rows, ["bad", "good", "real"])
 
-    def record(self) -> DataFrame:
-        """One nested row per book: every facet aggregated by book first, then joined; nothing fans out."""
-        person = [c for c in ("pos", "person_id", *PERSON)]
+    def suffixes(self) -> DataFrame:
+        """(id, suffix) of authors whose names collide."""
+        people = self.contributors("author").select(F.col("person_id").cast("string").alias("id"), *PERSON)
+        return author_suffixes(collision_groups(people)).select("id", "suffix")
+
+    def record(self, disambiguate: bool = False) -> DataFrame:
+        """One nested row per book: every facet aggregated by book first, then joined; nothing fans out.
+
+        With disambiguate, authors carry the suffix that tells them from others of their name.
+        """
+        person = ["pos", "person_id", *PERSON]
         books = self.books()
         for role in ("author", "translator", "illustrator"):
-            books = attach(books, self.contributors(role).select("book_id", *person), "book_id", f"{role}s", person)
+            people, columns = self.contributors(role), person
+            if disambiguate and role == "author":
+                people, columns = with_suffixes(people, self.suffixes()), [*person, "suffix"]
+            books = attach(books, people.select("book_id", *columns), "book_id", f"{role}s", columns)
         books = attach(books, self.genres(), "book_id", "genres", ["genre_id", "code", "description", "meta"])
         books = attach(books, self.series(), "book_id", "series", ["type", "level", "name", "series_id", "number"])
         books = attach(books, self.filenames(), "book_id", "filenames", ["file_name"])
