@@ -26,13 +26,15 @@ BUCKETS, STEMS = 1 << 20, (4, 5)
 #: The model is fitted on at most so many confirmed and unlabelled texts, chosen by a hash of the id.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 8000, 4000
 #: Only features that confirmed texts have this many standard errors more often are used.
-MIN_Z, MIN_TEXTS = 4.0, 4
+MIN_Z, MIN_TEXTS, MIN_SHARE = 4.0, 4, 0.01
+#: Texts with the same so many least features are taken for copies, of which one is learnt from.
+SKETCH = 8
 STEPS, RATE, DECAY, SEED = 600, 0.05, 1e-4, 11
 #: Share of a text's features that a step sees.
-KEEP = 0.25
+KEEP = 0.15
 #: Scores from here on are toxic.
 CUT = 0.3
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _WORD = re.compile(r"\w+")
 
 
@@ -80,6 +82,14 @@ def _presence(texts: list[list[int]], buckets: int) -> np.ndarray:
     return counts
 
 
+def _distinct(texts: list[list[int]]) -> list[list[int]]:
+    """One text of each group with equal least features: copies would make their chance words look telling."""
+    seen: dict[tuple[int, ...], list[int]] = {}
+    for x in texts:
+        seen.setdefault(tuple(sorted({int(b) for b in x})[:SKETCH]), x)
+    return list(seen.values())
+
+
 def fit(positive: list[list[int]], unlabelled: list[list[int]], prior: float, *, buckets: int = BUCKETS, steps: int = STEPS, rate: float = RATE,
         decay: float = DECAY, keep: float = KEEP, max_features: int = MAX_FEATURES, seed: int = SEED) -> Model:
     """Minimise the non-negative PU risk of a logistic loss over the texts' features.
@@ -91,11 +101,12 @@ def fit(positive: list[list[int]], unlabelled: list[list[int]], prior: float, *,
     if not positive or not unlabelled or not prior > 0:
         return Model()
     prior = min(prior, 0.99)
+    positive, unlabelled = _distinct(positive), _distinct(unlabelled)
     in_p, in_u = _presence(positive, buckets), _presence(unlabelled, buckets)
     p, u = in_p / len(positive), in_u / len(unlabelled)
     mean = (in_p + in_u) / (len(positive) + len(unlabelled))
     z = (p - u) / np.sqrt(np.maximum(mean * (1 - mean), 1e-12) * (1 / len(positive) + 1 / len(unlabelled)))
-    z[(in_p < MIN_TEXTS)] = 0
+    z[in_p < max(MIN_TEXTS, MIN_SHARE * len(positive))] = 0
     chosen = np.flatnonzero(z >= MIN_Z)
     chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:max_features]])
     if not len(chosen):
@@ -186,8 +197,7 @@ def keep_clean(documents: DataFrame, model: Model, *, text_col: str = "text") ->
         score = model.scorer()
         return lambda text: (score(text),)
 
-    rows = documents.withColumn("_text", F.col(text_col).cast("string"))
-    return map_rows(rows, documents.columns, {"_score": "double"}, make).where(F.col("_score") < CUT).drop("_score")
+    return map_rows(documents, documents.columns, {"_score": "double"}, make, given=[text_col]).where(F.col("_score") < CUT).drop("_score")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
