@@ -161,10 +161,10 @@ def slice_export(view: DataFrame, where: str | None = None, split_by: str | None
     rows = series_rows(view.where("locator.kind = 'archive_entry'"), options)
     c = F.col
     rows = rows.withColumns({"archive": c("locator.source"), "index": c("locator.index"), "ins_no": (c("locator.index") + 1).cast("string"), "folder": c("locator.source"),
-                             "is_deleted": is_deleted(c("deleted")), "_all": F.lit(1)})
+                             "is_deleted": is_deleted(c("deleted"))})
     accepted = F.expr(where) if where else F.lit(True)
     key = F.expr(split_by).cast("string") if split_by else F.col("archive")
-    kept = accepted_ordinals(rows, ["_all"], ["archive", "index"], F.coalesce(accepted, F.lit(False)), key, ["book_row"])
+    kept = accepted_ordinals(rows, [], ["archive", "index"], accepted, key, ["book_row"], spread=["archive"])
     line = join_fields(*[c(x) for x in (*_COMMON, "ins_no", "folder", "lang_field", "rate_field", "keywords_field", "year_field")])
     return kept.select(split_key(present(c("split_key"))).alias("member"), "archive", "index", "accepted_row", "accepted_book", "input_record", line.alias("line"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelf.operators.ranges import order_violations
@@ -38,10 +38,19 @@ def bad_archive_indexes(rows: DataFrame, archives: DataFrame) -> DataFrame:
 
 
 def order_errors(rows: DataFrame, archives: DataFrame) -> DataFrame:
-    """Rows (with file position pos) that stand before one of a lesser (archive ordinal, index)."""
+    """Rows (with file position pos) that stand before one of a lesser (archive ordinal, index) in their archive, and archives out of turn.
+
+    In order means: within each archive indexes do not fall, and each archive's positions come after all
+    of the archives before it. Both are checked per archive, so no task sees the whole file.
+    """
     placed = rows.join(archives.select(F.col("id").alias("_id"), "ordinal"), F.col("locator.source") == F.col("_id"), "left")
-    placed = placed.withColumns({"_all": F.lit(1), "_ordinal": F.coalesce("ordinal", F.lit(0)), "_index": F.coalesce("locator.index", "locator.book_id")})
-    return order_violations(placed, ["_all"], ["pos"], ["_ordinal", "_index"]).drop("_all", "_id", "_ordinal", "_index")
+    placed = placed.withColumns({"_ordinal": F.coalesce("ordinal", F.lit(0)), "_index": F.coalesce("locator.index", "locator.book_id")})
+    inside = order_violations(placed, ["_ordinal"], ["pos"], ["_index"])
+    spans = placed.groupBy("_ordinal").agg(F.min("pos").alias("_first"), F.max("pos").alias("_last"))
+    reached = Window.orderBy("_ordinal").rowsBetween(Window.unboundedPreceding, -1)  # a row per archive
+    early = spans.withColumn("_before", F.max("_last").over(reached)).where("_first <= _before").select("_ordinal", "_before")
+    out_of_turn = placed.join(early, "_ordinal").where("pos <= _before").select(placed.columns)
+    return inside.unionByName(out_of_turn).dropDuplicates(["pos"]).drop("_id", "_ordinal", "_index")
 
 
 def header_errors(header: dict) -> list[str]:
