@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a Python worker holds as objects at a time.
+SLICE = 512
 #: The separator of words in every contract of this subpackage.
 SPACES = "[\\x20\\x09-\\x0D]+"
 
@@ -55,22 +57,22 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callable[[], Callable], rows: int = 0) -> DataFrame:
-    """Columns `kept` as they are, and `added` (name -> SQL type), computed from the remaining columns.
+def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callable[[], Callable], rows: int = 0, given: list[str] | None = None) -> DataFrame:
+    """Columns `kept` as they are, and `added` (name -> SQL type), computed from the columns `given`: by default those not kept.
 
-    make() is called once per task and returns a function of a row's remaining values that gives a
+    make() is called once per task and returns a function of a row's given values that makes a
     tuple of the added ones; with `rows`, a function of lists of up to that many values that gives a
     list of tuples. Kept values never pass through Python objects, so ids keep their type.
     """
     kinds = dict(df.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [f"`{c}` {t}" for c, t in added.items()])
-    given = [c for c in df.columns if c not in kept]
+    given = given or [c for c in df.columns if c not in kept]
     arrow = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
              "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
             values = [batch.column(c).to_pylist() for c in given]
             if rows:
                 made = [r for at in range(0, len(batch), rows) for r in one(*[v[at:at + rows] for v in values])]
