@@ -29,10 +29,12 @@ LEAF = 1024
 #: Distinct pieces that a worker remembers before it starts anew.
 REMEMBERED = 400_000
 
-_SPLIT = {
-    "byte": r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
-    "word": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
-}
+#: The pattern by which the vocabulary's pre-tokenizer splits.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Latin letters, and texts of nothing else but ASCII: there the classes are these ranges, which the faster engine takes.
+LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_NOT_LATIN = re.compile("[^\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u024f]")
+_LATIN_SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[A-Za-z{LATIN}]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9{LATIN}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 _BEYOND = re.compile("[԰-\U0010ffff]")
 
 
@@ -43,6 +45,11 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in kept else chr(next(shifted)) for b in range(256)]
 
 
+def latin(text: str) -> bool:
+    """Whether a text is ASCII (without control characters but white space) and Latin letters whose lower case is Latin too."""
+    return not _NOT_LATIN.search(text)
+
+
 def sure(text: str) -> bool:
     """Whether the library's and this module's character classes are known to agree on a text.
 
@@ -78,7 +85,7 @@ class ByteBpe:
         for token, i in self._special.items():
             self._bytes[i] = token.encode()
         self.names = [str(i) for i in range(size)]
-        self._pieces = regex.compile(_SPLIT["byte"])
+        self._pieces = regex.compile(_SPLIT)
         self._known: dict[str, tuple[int, ...]] = {}
 
     def _model(self, data: bytes) -> list[int]:
@@ -125,7 +132,11 @@ class ByteBpe:
         """Ids of a whole text as the library gives them without special tokens added; null counts as empty."""
         if not text:
             return []
-        if not sure(text):
+        if latin(text):
+            pieces = _LATIN_SPLIT
+        elif sure(text):
+            pieces = self._pieces
+        else:
             return self.library.encode(text, add_special_tokens=False).ids
         known, piece = self._known, self._piece
         ids: list[int] = []
@@ -133,7 +144,7 @@ class ByteBpe:
             if part in self._special:
                 ids.append(self._special[part])
             elif part:
-                ids.extend(chain.from_iterable([known.get(p) or piece(p) for p in self._pieces.findall(part)]))
+                ids.extend(chain.from_iterable([known.get(p) or piece(p) for p in pieces.findall(part)]))
         return ids
 
     def decode_bytes(self, ids: list[int]) -> bytes:

@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelf.llm.bpe import default_path, sure
+from shelf.llm.bpe import LATIN, byte_symbols, default_path, latin, sure
 from shelf.llm.common import map_rows, new_folder, read_table
 
 #: Bytes of text per file, aimed at; distinct pieces that a worker remembers.
-FILE_TEXT_BYTES, REMEMBERED = 32 << 20, 400_000
+FILE_TEXT_BYTES, REMEMBERED = 24 << 20, 400_000
 END_ID = 1
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<Qi")
@@ -80,6 +80,7 @@ def parse(payload: memoryview, width: int) -> tuple[int | None, np.ndarray]:
 class WordBpe:
     """A vocabulary with word ends, in the library's JSON format; distinct pieces are encoded once per worker."""
 
+    _LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)|[a-z{LATIN}]+|[0-9]|[^\t-\r a-z0-9{LATIN}]+")
     _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str, width: int | None = None, remembered: int = REMEMBERED):
@@ -87,6 +88,7 @@ class WordBpe:
         self.library.no_truncation()
         self.library.no_padding()
         self.width = width or (2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4)
+        self._symbols = byte_symbols()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self._special = re.compile("|".join(map(re.escape, special))) if special else None
         self._known: dict[str, bytes] = {}
@@ -96,7 +98,8 @@ class WordBpe:
         return np.array(ids, dtype=f"<u{self.width}").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        packed = self.pack(self.library.encode(piece, add_special_tokens=False).ids)
+        # a piece needs neither normalising nor splitting any more: the library's model merges its bytes
+        packed = self.pack([t.id for t in self.library.model.tokenize("".join(map(self._symbols.__getitem__, piece.encode())))])
         if len(piece) <= 64:
             if len(self._known) >= self._remembered:
                 self._known.clear()
@@ -111,11 +114,12 @@ class WordBpe:
         """
         if not text:
             return b""
-        if not sure(text) or (self._special and self._special.search(text)):
+        simple = latin(text)  # composed already, and lower case needs no context
+        if not (simple or sure(text)) or (self._special and self._special.search(text)):
             return self.pack(self.library.encode(text, add_special_tokens=False).ids)
-        plain = text if text.isascii() else unicodedata.normalize("NFC", text)
         known, piece = self._known, self._piece
-        return b"".join([known.get(p) or piece(p) for p in self._PIECES.findall(plain.lower())])
+        pieces = self._LATIN.findall(text.lower()) if simple else self._PIECES.findall(unicodedata.normalize("NFC", text).lower())
+        return b"".join([known.get(p) or piece(p) for p in pieces])
 
 
 @lru_cache(2)
