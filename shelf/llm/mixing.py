@@ -153,14 +153,14 @@ def mixed_documents(df: DataFrame, **options) -> DataFrame:
     """The documents of the mix, with the columns of df: a row per copy taken; a part taken is its words, space-joined.
 
     Documents of which nothing is taken go, among them those without words. Rows are matched by id
-    and text hash, so repeated rows must be whole repeats.
+    and text hash, so repeated rows must be whole repeats. The texts are shuffled once, by these two.
     """
     id_col, text_col, seed = options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("seed", SEED)
-    taken = mix(df, **options).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(
+    taken = mix(df, **options).where("taken > 0").groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("h").alias("_h")).agg(
         F.collect_list(F.struct("rounds", "size", "from1", "to1", "from2", "to2")).alias("_runs"))  # one each, but for repeated rows
     data = F.coalesce(F.col(text_col), F.lit(""))
     keyed = df.withColumn("_key", F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.crc32(data.cast("binary"))))
-    keyed = keyed.dropDuplicates(["_key", id_col])
+    keyed = keyed.withColumn("_named", F.coalesce(F.col(id_col).cast("string"), F.lit(""))).dropDuplicates(["_named", "_key"])
 
     def part(low: Column, high: Column, size: Column) -> Column:
         whole = (low == 0) & (high == size)
@@ -170,7 +170,7 @@ def mixed_documents(df: DataFrame, **options) -> DataFrame:
     copies = F.flatten(F.transform("_runs", lambda r: F.concat(
         F.array_repeat(F.col(text_col), r["rounds"].cast("int")),
         F.array_compact(F.array(part(r["from1"], r["to1"], r["size"]), part(r["from2"], r["to2"], r["size"]))))))
-    joined = keyed.join(taken, (F.col("_key") == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    joined = keyed.join(taken, (F.col("_named") == F.col("_id")) & (F.col("_key") == F.col("_h")))
     return joined.withColumn("_copy", F.explode(copies)).select(*[F.col("_copy").alias(c) if c == text_col else F.col(c) for c in df.columns])
 
 
