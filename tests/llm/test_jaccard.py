@@ -1,0 +1,70 @@
+import random
+
+import corpus_pipeline
+from shelf.llm import jaccard as j
+
+
+def plain(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(rows):
+    sets = {i: plain(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in sets:
+        for k in sets:
+            a, b = sets[i], sets[k]
+            if k < i and (not a and not b or len(a & b) >= 0.8 * len(a | b)):
+                x, y = root(i), root(k)
+                parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i in sets}
+
+
+def edited(rng, words, n):
+    """The words with n of them, far apart, replaced."""
+    words = list(words)
+    for at in rng.sample(range(0, len(words), 6), n):
+        words[at] = f"new{rng.random()}"
+    return " ".join(words)
+
+
+def corpus():
+    rng = random.Random(5)
+    rows = [(0, ""), (1, None), (2, " \t"), (3, "one two"), (4, "One  two"), (5, "one three")]
+    for _ in range(40):  # edited copies on both sides of 0.8, and chains of them
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice((60, 150, 400)))]
+        for _ in range(5):
+            rows.append((len(rows), " ".join(words)))
+            words = edited(rng, words, rng.randint(0, len(words) // 45)).split()
+    base = [f"b{i}" for i in range(300)]  # a crowd near one text, of which few are near each other
+    return rows + [(1000 + i, edited(rng, base, 6 if i else 0)) for i in range(60)]
+
+
+def test_groups_match_brute_force(spark):
+    rows = corpus()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    for tile in (256, 8):
+        assert {r.doc_id: r.component_id for r in j.near_copies(frame, tile=tile).collect()} == want
+
+
+def test_the_stage_drops_edited_copies(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "/root/testdata/sf0.01")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_awkward_rows_and_an_empty_table(documents, no_documents):
+    ids = [r.doc_id for r in j.deduplicate(documents).collect()]
+    assert ids.count(None) == 2 and len(ids) - 2 == len(set(ids) - {None})
+    assert j.near_copies(no_documents).count() == 0
+    assert j.deduplicate(no_documents).count() == 0
