@@ -1,14 +1,18 @@
 """Near-duplicate vectors by sorted projection passes.
 
 Each pass hashes every vector to 64 signs of random projections and sorts all vectors by the
-concatenated signs. Vectors that stand within a window of each other are compared exactly; the
-pairs verified in any pass join into components. Then every component's members are compared with
-each other tile by tile, so the number of links is exact within a component however dense it is.
-Copies of a vector are one class throughout and never compared.
+concatenated signs. Vectors that stand within a window of each other are compared exactly. The
+number of passes follows the number of vectors. What share of its links a vector's windows must have
+met follows from the prefixes it shares with the vectors at their ends; where the direction is so
+dense that over MISSED of them may stand outside, the vector is crowded, and all crowded vectors
+near enough to hold a link are compared tile by tile. The verified pairs join into components. Then
+every component's members are compared with each other tile by tile, so the number of links is exact
+within a component however dense it is. Copies of a vector are one class throughout and never compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +24,14 @@ from shelf.llm.common import cut, read_table
 from shelf.llm.components import connected_components
 
 THRESHOLD = 0.95
-#: Passes, neighbours compared on each side, and the seed of the projections.
+#: The least passes, neighbours compared on each side, and the seed of the projections.
 PASSES, WINDOW, SEED = 16, 32, 7
 #: Vectors per block of a sorted pass, and per tile of a component.
 BLOCK, TILE = 2048, 1024
+#: The share of a vector's links at the threshold that its windows may miss: as passes are planned, and before it counts as crowded.
+PLANNED, MISSED = 0.001, 0.01
+#: Pivots that crowded vectors are dealt around.
+PIVOTS = 256
 
 
 def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -38,6 +46,49 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, number) & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _directions(x: np.ndarray) -> np.ndarray:
+    """Vectors of length 1."""
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
+def _planes(dim: int, passes: int, seed: int) -> np.ndarray:
+    return np.random.default_rng([seed, dim]).standard_normal((dim, passes * 64))
+
+
+#: The normal distribution at the points of a grid.
+GRID = np.linspace(0, 6, 3001)
+BELOW = np.array([0.5 * (1 + math.erf(v / math.sqrt(2))) for v in GRID])
+
+
+def _kept_signs(x: np.ndarray, planes: np.ndarray, threshold: float) -> np.ndarray:
+    """For each of x and n, the logarithm of the probability that a vector at the threshold from it has its first n signs too.
+
+    The vector's projection is threshold times that of x, plus a normal draw times the sine, so a
+    projection of x near 0 makes its sign uncertain.
+    """
+    tangent = threshold / math.sqrt(max(1 - threshold**2, 1e-12))
+    each = np.log(np.interp(np.abs(_directions(x) @ planes) * tangent, GRID, BELOW))
+    return np.concatenate([np.zeros((len(x), 1)), np.cumsum(each, axis=1)], axis=1)
+
+
+def enough_passes(n: int, threshold: float, window: int, least: int) -> int:
+    """Passes after which n vectors in all directions have a link at the threshold missed with a probability of PLANNED."""
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    met = agree ** (max(0.0, math.log2(max(n, 1) / window)) + 1.5)
+    return least if met >= 1 else max(least, math.ceil(math.log(PLANNED) / math.log1p(-met)))
+
+
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of leading bits that signatures share."""
+    x, n = (a ^ b).view(np.uint64).copy(), np.zeros(len(a), np.int64)
+    for step in (32, 16, 8, 4, 2, 1):
+        clear = x >> np.uint64(64 - step) == 0
+        n[clear] += step
+        x[clear] <<= np.uint64(step)
+    return np.where(a == b, 64, n)
+
+
 def _signatures(classes: DataFrame, passes: int, seed: int) -> DataFrame:
     """(pass, dim, sig, cls): signs of projections, as longs that sort like the sign bits."""
 
@@ -48,7 +99,7 @@ def _signatures(classes: DataFrame, passes: int, seed: int) -> DataFrame:
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 if dim not in planes:
-                    planes[dim] = np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), passes * 64))
+                    planes[dim] = _planes(int(dim), passes, seed)
                 x = _vectors(part.column("embedding"))
                 x /= np.abs(x).max(1, keepdims=True)
                 signs = (x @ planes[dim] > 0).reshape(len(part), passes, 64)
@@ -92,27 +143,29 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def _positions(signatures: DataFrame) -> DataFrame:
-    """cls with its pass and its position in the order of all passes, by a distributed sort and counts per partition."""
+    """cls and sig with its pass and its position in the order of all passes, by a distributed sort and counts per partition."""
     ordered = signatures.repartitionByRange("pass", "dim", "sig", "cls").sortWithinPartitions("pass", "dim", "sig", "cls")
-    ordered = cut(ordered.select("pass", "dim", "cls", F.spark_partition_id().alias("part"),
+    ordered = cut(ordered.select("pass", "dim", "sig", "cls", F.spark_partition_id().alias("part"),
                                  F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at")))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = ordered.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("offset"))
-    return ordered.join(F.broadcast(offsets), "part").select("pass", "dim", "cls", (F.col("at") + F.col("offset")).alias("pos"))  # one row per partition
+    return ordered.join(F.broadcast(offsets), "part").select("pass", "dim", "sig", "cls", (F.col("at") + F.col("offset")).alias("pos"))  # one row per partition
 
 
 def neighbour_pairs(classes: DataFrame, *, threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, seed: int = SEED, block: int = BLOCK) -> DataFrame:
-    """(src, dst): verified pairs that stand within `window` of each other in some pass; pairs may repeat.
+    """(src, dst, missed): verified pairs that stand within `window` of each other in some pass; pairs may repeat.
 
     classes has cls, dim and embedding. Blocks of `block` positions also get the next block's first
-    `window` rows, so no pair is lost at an edge.
+    `window` rows and the last block's last ones, so no pair is lost at an edge. Rows without dst
+    have, for src in one pass, the logarithm of the probability that a link at the threshold is missed.
     """
     here = F.floor(F.col("pos") / F.lit(block)).cast("long")
     placed = _positions(_signatures(classes, passes, seed)).withColumn("home", here)
-    placed = placed.withColumn("block", F.explode(F.when((F.col("pos") % block < window) & (F.col("home") > 0),
-                                                         F.array(F.col("home") - 1, F.col("home"))).otherwise(F.array("home"))))
+    placed = placed.withColumn("block", F.explode(F.array_compact(F.array(
+        "home", F.when((F.col("pos") % block < window) & (F.col("home") > 0), F.col("home") - 1), F.when(F.col("pos") % block >= block - window, F.col("home") + 1)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for table in _groups(batches, ["block"]):
             for dim in np.unique(table.column("dim").to_numpy()):
                 part = table.filter(pa.array(table.column("dim").to_numpy() == dim))
@@ -126,10 +179,101 @@ def neighbour_pairs(classes: DataFrame, *, threshold: float = THRESHOLD, passes:
                     src.append(cls[:-off][hit])
                     dst.append(cls[off:][hit])
                 if src:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(src)), pa.array(np.concatenate(dst))], ["src", "dst"])
+                    src, dst = np.concatenate(src), np.concatenate(dst)
+                    yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst), pa.nulls(len(src), pa.float64())], ["src", "dst", "missed"])
+                most = np.full(len(x), -1)  # bits shared with what stands at the window's ends; what shares more stands inside
+                if len(x) > window:
+                    sig = part.column("sig").to_numpy()
+                    bits = np.where(which[:-window] == which[window:], _shared_bits(sig[:-window], sig[window:]), -1)
+                    most[:-window] = bits
+                    most[window:] = np.maximum(most[window:], bits)
+                met = np.zeros(len(x))
+                for k in np.unique(which):
+                    if (dim, k) not in planes:
+                        planes.clear()
+                        planes[dim, k] = _planes(int(dim), passes, seed)[:, 64 * k:64 * k + 64].copy()
+                    rows = np.flatnonzero(which == k)
+                    met[rows] = _kept_signs(x[rows], planes[dim, k], threshold)[np.arange(len(rows)), np.minimum(most[rows] + 1, 64)]
+                missed = np.log(np.maximum(-np.expm1(met[own]), 1e-300))
+                yield pa.RecordBatch.from_arrays([pa.array(cls[own]), pa.nulls(len(missed), pa.int64()), pa.array(missed)], ["src", "dst", "missed"])
 
     joined = placed.join(classes.select("cls", "embedding"), "cls")
-    return joined.repartition("block").sortWithinPartitions("block", "pos").mapInArrow(run, "src long, dst long")
+    return joined.repartition("block").sortWithinPartitions("block", "pos").mapInArrow(run, "src long, dst long, missed double")
+
+
+def _by_dim(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for batch in batches:
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims):
+            yield int(dim), batch.filter(pa.array(dims == dim))
+
+
+def crowded_pairs(crowded: DataFrame, *, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
+    """(src, dst): pairs that join all crowded classes (cls, dim, embedding) that links join; every link among them is looked at.
+
+    Each vector lives in the cell of its nearest pivot and visits the later cells of its length where
+    a link can be, by the triangle inequality of angles. A cell's own vectors are compared with each
+    other and with its visitors, in tiles.
+    """
+    n = crowded.count()
+    chosen: dict[int, list] = {}
+    for r in crowded.orderBy(F.xxhash64("cls"), "cls").limit(min(PIVOTS, -(-n // tile))).select("dim", "embedding").collect():  # PIVOTS vectors at most
+        chosen.setdefault(r.dim, []).append(r.embedding)
+    pivots = {dim: _directions(np.array(v, np.float64)) for dim, v in chosen.items()}
+    reach = math.acos(max(-1.0, min(1.0, threshold))) + 1e-6
+
+    def angles(dim: int, part: pa.RecordBatch) -> np.ndarray:
+        x = _directions(_vectors(part.column("embedding")))
+        return np.arccos(np.clip(x @ pivots[dim].T, -1, 1)) if dim in pivots else np.zeros((len(x), 1))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, part in _by_dim(batches):
+            far = angles(dim, part)
+            home = far.argmin(1)
+            yield pa.RecordBatch.from_arrays([part.column("dim"), pa.array(home.astype(np.int32)), pa.array(far[np.arange(len(far)), home])], ["dim", "cell", "far"])
+
+    source = crowded.select("cls", "dim", "embedding")
+    radii = {(r.dim, r.cell): r.far for r in source.mapInArrow(settle, "dim int, cell int, far double").groupBy("dim", "cell").agg(F.max("far").alias("far")).collect()}
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, part in _by_dim(batches):
+            far = angles(dim, part)
+            home = far.argmin(1)
+            wide = np.array([radii.get((dim, j), -np.inf) for j in range(far.shape[1])])
+            at, cell = np.nonzero((far <= wide + reach) & (np.arange(far.shape[1]) > home[:, None]) | (np.arange(far.shape[1]) == home[:, None]))
+            yield pa.RecordBatch.from_arrays([part.column("cls").take(pa.array(at)), part.column("dim").take(pa.array(at)), pa.array(cell.astype(np.int32)), pa.array(cell == home[at])],
+                                             ["cls", "dim", "cell", "own"])
+
+    placed = cut(source.mapInArrow(visit, "cls long, dim int, cell int, own boolean"))
+    tiles = lambda own: F.ceil(F.count(F.when(F.col("own") == own, 1)) / F.lit(tile)).cast("int")
+    sizes = placed.groupBy("dim", "cell").agg(tiles(True).alias("owned"), tiles(False).alias("visited"))
+    slot = F.xxhash64("cls", F.lit(1))
+    dealt = placed.join(sizes, ["dim", "cell"]).withColumn(
+        "mine", F.when(F.col("own"), F.pmod(slot, F.col("owned"))).otherwise(F.col("owned") + F.pmod(slot, F.greatest("visited", F.lit(1)))).cast("int"))
+    last = F.when(F.col("own"), F.col("owned") + F.col("visited")).otherwise(F.col("owned")) - 1
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    dealt = dealt.select("dim", "cell", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "cls").join(crowded.select("cls", "embedding"), "cls")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["dim", "cell", "a", "b"]):
+            a, b, mine = table.column("a")[0].as_py(), table.column("b")[0].as_py(), table.column("mine").to_numpy()
+            x, cls = _vectors(table.column("embedding")), table.column("cls").to_numpy()
+            left, right = np.flatnonzero(mine == a), np.flatnonzero(mine == b)
+            norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+            i, j = np.nonzero(x[left] @ x[right].T / (norm[left][:, None] * norm[right][None, :]) >= threshold)
+            i, j, least = left[i], right[j], np.arange(len(x))
+            while True:  # the least row that links reach, so a dense tile gives a pair per row
+                before = least.copy()
+                np.minimum.at(least, i, least[j])
+                np.minimum.at(least, j, least[i])
+                least = least[least]
+                if (least == before).all():
+                    break
+            joined = least != np.arange(len(x))
+            yield pa.RecordBatch.from_arrays([pa.array(cls[joined]), pa.array(cls[least[joined]])], ["src", "dst"])
+
+    keys = ["dim", "cell", "a", "b"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long")
 
 
 def _tile_links(members: DataFrame, threshold: float, tile: int) -> DataFrame:
@@ -176,7 +320,14 @@ def near_vectors(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     good = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
     classes = cut(rows.where(good).groupBy("embedding").agg(F.min("vec_id").cast("long").alias("cls"), F.count("*").alias("copies"))
                   .withColumn("dim", F.size("embedding")))
-    components = connected_components(neighbour_pairs(classes, threshold=threshold, passes=passes, window=window, seed=seed, block=block))
+    passes = enough_passes(classes.count(), threshold, window, passes)
+    pairs = cut(neighbour_pairs(classes, threshold=threshold, passes=passes, window=window, seed=seed, block=block))
+    crowded = pairs.where("dst is null").groupBy("src").agg(F.sum("missed").alias("missed")).where(F.col("missed") > math.log(MISSED)).select(F.col("src").alias("cls"))
+    crowded = cut(crowded.join(classes, "cls").select("cls", "dim", "embedding"))
+    edges = pairs.where("dst is not null").select("src", "dst")
+    if not crowded.isEmpty():
+        edges = edges.union(crowded_pairs(crowded, threshold=threshold, tile=tile))
+    components = connected_components(edges)
     members = components.select(F.col("node").alias("cls"), "component").join(classes, "cls")
     links = _tile_links(members, threshold, tile)
     found = cut(classes.select("cls", "copies").join(components.select(F.col("node").alias("cls"), "component"), "cls", "left").join(links, "cls", "left")

@@ -62,3 +62,36 @@ def test_recall_on_a_whole_table(spark):
 
 def test_empty_table(spark):
     assert e.near_vectors(table(spark, [(1, [1.0])]).where("false")).count() == 0
+
+
+def planted(rng, n, dense, pairs, low=0.95, high=0.953):
+    """n unit vectors of 64 numbers, a third of them at a cosine of about `dense` to each other, with pairs between two cosines."""
+    axis = np.eye(64)[0]
+    x = rng.standard_normal((n, 64))
+    crowd = n // 3
+    x[:crowd, 0] = 0
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:crowd] = np.sqrt(dense) * axis + np.sqrt(1 - dense) * x[:crowd]
+    for k in range(pairs):  # within the crowd: the partner differs in a direction across the axis
+        a = x[2 * k]
+        u = rng.standard_normal(64)
+        u[0] = 0
+        u -= u @ a * a
+        c = rng.uniform(low, high)
+        x[2 * k + 1] = c * a + np.sqrt(1 - c * c) * u / np.linalg.norm(u)
+    return x
+
+
+def check_recall(spark, x):
+    got = {r.vec_id: r.n_links for r in e.near_vectors(table(spark, [(i, v.tolist()) for i, v in enumerate(x)])).collect()}
+    want = np.concatenate([(x[at:at + 2000] @ x.T >= 0.95).sum(1) - 1 for at in range(0, len(x), 2000)])
+    assert want.sum() > 500
+    assert all(got[i] <= n for i, n in enumerate(want))
+    return sum(got.values()) / want.sum()
+
+
+def test_recall_of_planted_links_in_a_dense_direction(spark):
+    for dense in (0.8, 0.9):
+        found = check_recall(spark, planted(np.random.default_rng(8), 21_000, dense, 400))
+        print("dense", dense, "recall", found)
+        assert found >= 0.99
