@@ -95,3 +95,15 @@ def test_recall_of_planted_links_in_a_dense_direction(spark):
         found = check_recall(spark, planted(np.random.default_rng(8), 21_000, dense, 400))
         print("dense", dense, "recall", found)
         assert found >= 0.99
+
+
+def test_recall_of_planted_links_in_all_directions(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    u = rng.standard_normal((500, 64))
+    u -= (u * x[:500]).sum(1)[:, None] * x[:500]
+    x[500:1000] = 0.951 * x[:500] + np.sqrt(1 - 0.951**2) * u / np.linalg.norm(u, axis=1)[:, None]
+    found = check_recall(spark, x)
+    print("all directions, recall", found)
+    assert found >= 0.99
