@@ -24,14 +24,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session, which driver and executors share.
 
-    It is the one that spark.checkpoint.dir names. Only where that is unset, as in local tests,
-    a temporary folder is made.
+    It is the one that spark.checkpoint.dir names. Only where that is unset and the master is local,
+    as in tests, a temporary folder is made; on a cluster, where nobody else could read it, that is an error.
     """
     context = spark.sparkContext
     found = context._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="shelf-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -64,22 +66,40 @@ def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callab
     tuple of the added ones; with `rows`, a function of lists of up to that many values that gives a
     list of tuples. Kept values never pass through Python objects, so ids keep their type.
     """
-    kinds = dict(df.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [f"`{c}` {t}" for c, t in added.items()])
-    given = given or [c for c in df.columns if c not in kept]
+    place = {c: i for i, c in enumerate(df.columns)}
+    kinds = [t for _, t in df.dtypes]
+    at_kept = [place[c] for c in kept]
+    at_given = [place[c] for c in given] if given else [i for c, i in place.items() if c not in kept]
+    names = [f"c{i}" for i in range(len(kept) + len(added))]  # columns go by place, so that they may have any name
+    schema = ", ".join(f"{n} {t}" for n, t in zip(names, [*[kinds[i] for i in at_kept], *added.values()], strict=True))
     arrow = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
              "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
-            values = [batch.column(c).to_pylist() for c in given]
+            values = [batch.column(i).to_pylist() for i in at_given]
             if rows:
                 made = [r for at in range(0, len(batch), rows) for r in one(*[v[at:at + rows] for v in values])]
             else:
                 made = [one(*v) for v in zip(*values, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array([r[i] for r in made], arrow[t]) for i, t in enumerate(added.values())],
-                names=[*kept, *added])
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in at_kept] + [pa.array([r[i] for r in made], arrow[t]) for i, t in enumerate(added.values())], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*[f"c{i}" for i in range(len(kinds))]).mapInArrow(run, schema).toDF(*kept, *added)
+
+
+def filter_rows(df: DataFrame, given: str, make: Callable[[], Callable]) -> DataFrame:
+    """The rows, with all their columns whatever their names, whose value of the column `given` passes.
+
+    make() is called once per task and returns a function from a value to whether its row stays.
+    """
+
+    at_given = df.columns.index(given)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = make()
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
+            yield batch.filter(pa.array([passes(v) for v in batch.column(at_given).to_pylist()], pa.bool_()))
+
+    placed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # columns go by place, so that they may have any name
+    return placed.mapInArrow(run, placed.schema).toDF(*df.columns)

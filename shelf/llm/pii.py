@@ -3,7 +3,8 @@
 The patterns give the base spans, which always stay. The network, in numpy, learns from labelled
 spans in invented text; it reads overlapping windows, and every character takes its tag from the window
 in whose middle it stands most, so spans are put together over the whole text, whatever its length.
-Every kind of span holds a digit or an @; windows far from any of these need not be read. The network
+Every kind of span holds a digit or an @, so reading starts at the windows that own one, and goes on to
+both sides while a span is open: what can be a span comes out as if all windows were read. The network
 adds spans that the patterns miss, such as phone numbers without a plus.
 """
 
@@ -306,39 +307,50 @@ def trained(spark: SparkSession, examples: int = EXAMPLES, seed: int = SEED) ->
 
 # --- spans of whole texts ---------------------------------------------------------------------
 
-def network_spans(texts: list[str], w: Weights, window: int = WINDOW) -> list[list[Span]]:
-    """Spans that the network sees in whole texts.
+def _owner(at: int, half: int) -> int:
+    """The window whose tag a character takes: the one in which it stands farthest from an edge."""
+    return max(0, (at - half // 2) // half)
+
+
+def network_spans(texts: list[str], w: Weights, window: int = WINDOW, everything: bool = False) -> list[list[Span]]:
+    """Spans that the network sees in whole texts: all of those with a digit or an @, and some others.
 
     Windows start every half window. A character's tag is that of the window in which it stands
-    farthest from an edge; tags then join into spans across windows.
+    farthest from an edge; tags then join into spans across windows. First the windows that own a
+    digit or an @ are read, then those beside a window at whose edge a span is open, until none is:
+    a span with such a character is whole then, however long. With `everything`, all windows are read.
     """
     half = window // 2
-    rows, where = [], []
+    first_own = lambda k: 0 if k == 0 else half // 2
+    known: dict[int, np.ndarray] = {}
+    tags_of: list[dict[int, np.ndarray]] = [{} for _ in texts]
+    todo: list[tuple[int, int]] = []
+    last: list[int] = []
     for n, text in enumerate(texts):
-        near: set[int] = set()
-        for m in _TRIGGER.finditer(text):
-            k = m.start() // half
-            near.update((k - 2, k - 1, k, k + 1))
-        if near:
-            ids = char_ids(text)
-            last = max(0, -(-len(ids) // half) - 1)
-            for k in sorted(x for x in near if 0 <= x <= last):
-                part = ids[k * half:k * half + window]
-                rows.append(np.pad(part, (0, window - len(part))))
-                where.append((n, k))
+        last.append(max(0, -(-len(text) // half) - 1))
+        wanted = set(range(last[n] + 1)) if everything and text else {_owner(m.start(), half) for m in _TRIGGER.finditer(text)}
+        todo += [(n, k) for k in sorted(wanted)]
+    while todo:
+        for at in range(0, len(todo), DECODE):
+            part, rows = todo[at:at + DECODE], []
+            for n, k in part:
+                if n not in known:
+                    known[n] = char_ids(texts[n])
+                ids = known[n][k * half:k * half + window]
+                rows.append(np.pad(ids, (0, window - len(ids))))
+            for (n, k), tags in zip(part, decode(np.stack(rows), w), strict=True):
+                tags_of[n][k] = tags[first_own(k):half + half // 2]
+        more = set()
+        for n, k in todo:
+            tags = tags_of[n][k]
+            more |= {(n, j) for j, edge in ((k - 1, tags[0]), (k + 1, tags[-1])) if edge and 0 <= j <= last[n] and j not in tags_of[n]}
+        todo = sorted(more)
     found: list[list[Span]] = [[] for _ in texts]
-    tags_of: dict[int, list[tuple[int, np.ndarray]]] = {}
-    for at in range(0, len(rows), DECODE):
-        for (n, k), tags in zip(where[at:at + DECODE], decode(np.stack(rows[at:at + DECODE]), w), strict=True):
-            first = 0 if k == 0 else half // 2
-            tags_of.setdefault(n, []).append((k * half + first, tags[first:half + half // 2]))
-    for n, parts in tags_of.items():
+    for n, read in enumerate(tags_of):
         open_: list | None = None
-        for start, tags in parts:
-            if open_ and open_[2] != start:  # the windows between were not read
-                found[n].append(tuple(open_))
-                open_ = None
-            for i in np.flatnonzero(tags).tolist() if tags.any() else []:
+        for k in sorted(read):
+            start, tags = k * half + first_own(k), read[k]
+            for i in np.flatnonzero(tags).tolist():
                 tag, p = int(tags[i]), start + i
                 kind = KINDS[(tag - 1) // 2]
                 if open_ and open_[0] == kind and open_[2] == p and tag % 2 == 0:
@@ -347,9 +359,6 @@ def network_spans(texts: list[str], w: Weights, window: int = WINDOW) -> list[li
                     if open_:
                         found[n].append(tuple(open_))
                     open_ = [kind, p, p + 1]
-            if open_ and open_[2] != start + len(tags):
-                found[n].append(tuple(open_))
-                open_ = None
         if open_:
             found[n].append(tuple(open_))
     return found
@@ -361,7 +370,7 @@ def plausible(kind: str, what: str) -> bool:
     if kind == "email":
         return re.fullmatch(r"[^\s@]+@[^\s@]+\.[^\s@]+", what) is not None
     if kind == "ip":
-        return len(parts := re.split(r"[.,]", what)) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+        return re.fullmatch(r"[0-9]{1,3}(?:[.,][0-9]{1,3}){3}", what) is not None and all(int(p) <= 255 for p in re.split("[.,]", what))
     if kind == "card":
         return 12 <= len(digits) <= 19 and luhn(digits) and re.fullmatch(r"[0-9 .\-]+", what) is not None
     return 9 <= len(digits) <= 15 and re.fullmatch(r"\+?[0-9 ().\-]+", what) is not None and re.search(r"[()+\- ]", what) is not None
@@ -403,7 +412,8 @@ def redact(text: str, spans: list[Span]) -> str:
 def find_pii(df: DataFrame, weights: Weights | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base and spans (joined as kind:start:end) of every whole text; null and empty texts have none.
 
-    Repeated rows are read each; extra columns are ignored; an empty table gives no rows.
+    Texts of any length are read in bounded batches of windows. Repeated rows are read each; equal starts
+    are in the order of KINDS; extra columns are ignored; an empty table gives no rows.
     """
     w = weights or trained(df.sparkSession)
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -420,7 +430,7 @@ def find_pii(df: DataFrame, weights: Weights | None = None, *, id_col: str = "do
 
 
 def redact_documents(df: DataFrame, weights: Weights | None = None, *, text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, their personal data replaced by its kind; a null text stays null."""
+    """The documents, with all their columns whatever their names, personal data replaced by its kind; a null text stays null."""
     w = weights or trained(df.sparkSession)
 
     def make():
@@ -431,8 +441,8 @@ def redact_documents(df: DataFrame, weights: Weights | None = None, *, text_col:
         return run
 
     others = [c for c in df.columns if c != text_col]
-    rows = df.withColumn("_text", F.col(text_col).cast("string")).select(*others, "_text")
-    return map_rows(rows, others, {text_col: "string"}, make, TEXTS).select(*df.columns)
+    rows = df.withColumn(text_col, F.col(text_col).cast("string"))
+    return map_rows(rows, others, {text_col: "string"}, make, TEXTS, given=[text_col]).select(*[f"`{c}`" for c in df.columns])
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

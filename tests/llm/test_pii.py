@@ -4,6 +4,8 @@ import re
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from shelf.llm import pii as p
 
@@ -55,6 +57,38 @@ def test_windows_are_reconciled_over_the_whole_text(weights):
         assert base == [] and [text[a:b] for _, a, b in spans] == ["(555) 123-4567"]
 
 
+ODD = ["host 192.168.1².77 and more", "addr 192.168.²5.77 up", "ip ²12.168.101.44 x", "ip 192.1²8.101.44 x", "١٢٣.1.2.3", "card ４111 1111 1111 1111", "²" * 200, "+¹²³ 456 789 0123"]
+
+
+def relevant(texts, spans):
+    return [[s for s in found if re.search("[0-9@]", text[s[1]:s[2]])] for text, found in zip(texts, spans)]
+
+
+def test_digits_beyond_ascii(weights):
+    for text, (base, spans) in zip(ODD, p.all_spans(ODD, weights)):
+        assert base == plain(text) and set(base) <= set(spans)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("0123456789@.+-() ,ab²٣\n"), st.characters()), max_size=260), max_size=4))
+def test_windows_read_are_as_good_as_all(weights, texts):
+    """Reading on while a span is open gives the spans of all windows, wherever a span can be."""
+    some, every = p.network_spans(texts, weights), p.network_spans(texts, weights, everything=True)
+    assert relevant(texts, some) == relevant(texts, every)
+    for text, (base, spans) in zip(texts, p.all_spans(texts, weights)):
+        assert base == plain(text) and set(base) <= set(spans)
+        assert all(p.plausible(kind, text[a:b]) for kind, a, b in set(spans) - set(base))
+
+
+def test_long_open_spans_are_read_on(weights):
+    """Untrained weights leave spans open over many windows."""
+    rng = np.random.default_rng(3)
+    wild = {k: rng.standard_normal(x.shape) for k, x in weights.items()}
+    texts = ["a" * 500 + "1" + "b" * 500, "word @ " + "x y " * 300, "".join(rng.choice(list("ab 1@."), 2000))]
+    for w in (wild, wild | {"bias": np.where(np.arange(p.TAGS) == 2, 50.0, 0.0)}):
+        assert relevant(texts, p.network_spans(texts, w)) == relevant(texts, p.network_spans(texts, w, everything=True))
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     scores, tags, trans = rng.standard_normal((5, 3, p.TAGS)), rng.integers(0, p.TAGS, (3, 5)), rng.standard_normal((p.TAGS, p.TAGS))
@@ -77,7 +111,7 @@ def test_gradients_match_differences():
 
 def test_whole_tables(spark, documents, weights):
     extra = spark.createDataFrame([(700, "é mail a.b@c.org, ip 1.2.3.4 and 999.1.1.1 card 4111 1111 1111 1111 call +1 (555) 123-4567"), (701, None)], "doc_id long, text string")
-    rows = documents.select("doc_id", "text").union(extra)
+    rows = documents.select("doc_id", "text").union(extra).union(spark.createDataFrame(list(enumerate(ODD, 800)), "doc_id long, text string"))
     texts = sorted((str(r.doc_id), r.text or "") for r in rows.collect())
     got = p.find_pii(rows).collect()
     assert len(got) == len(texts)
@@ -93,5 +127,11 @@ def test_whole_tables(spark, documents, weights):
     assert hidden[700] == "é mail <EMAIL>, ip <IP> and 999.1.1.1 card <CARD> call <PHONE>" and hidden[701] is None
 
 
+def test_columns_of_any_name(spark, weights):
+    rows = spark.createDataFrame([(1, "mail a.b@c.org", "x", "y", 2)], "doc_id long, text string, _text string, `a.b` string, spans long")
+    hidden = p.redact_documents(rows, weights)
+    assert hidden.columns == rows.columns and [tuple(r) for r in hidden.collect()] == [(1, "mail <EMAIL>", "x", "y", 2)]
+
+
 def test_empty_table(no_documents):
     assert p.find_pii(no_documents).count() == 0
