@@ -34,6 +34,9 @@ class Rule:
         return self.host + self.path
 
 
+#: Labels of hosts whose pages the query's list names: advertising, gambling, pills, pornography, spam and trackers.
+UNWANTED = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
 #: The rules of the query.
 RULES = (
     Rule("allow", "com", "/"),
@@ -92,17 +95,24 @@ def _maybe(key: Column, words: list[Column]) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
+def _rule_table(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
+    """(key, verdict): one row per host and path; of two rules with the same, block wins."""
+    known: dict[str, str] = {}
+    for r in rules:
+        known[r.key] = max(r.verdict, known.get(r.key, ""))
+    return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("verdict")) for k, v in known.items()])))
+
+
 def _rule_columns(df: DataFrame, rules: tuple[Rule, ...], host: Column, path: Column) -> tuple[DataFrame, Column, Column]:
-    """df joined to the rules by each kind of key a URL can have, the longest first."""
-    spark = df.sparkSession
-    exact = spark.createDataFrame([(r.key, r.verdict) for r in rules], "key string, verdict string").dropDuplicates(["key"])
+    """df joined to the rules by each kind of key a URL can have; the longest wins, and of equally long ones the longer host."""
     blocks = max(1, -(-len(rules) // KEYS_PER_BLOCK))
     if blocks > MAX_LITERAL_BLOCKS:
         raise ValueError(f"at most {MAX_LITERAL_BLOCKS * KEYS_PER_BLOCK} rules; give more as listed URLs")
+    exact = _rule_table(df.sparkSession, rules)
     filled = {r["block"]: [r[f"w{i}"] for i in range(WORDS)] for r in bloom_blocks(exact, blocks).collect()}  # at most `blocks` rows
-    kinds = sorted({(r.host.count(".") + 1, len(r.path)) for r in rules}, key=lambda k: (-k[0] - k[1], k))
+    kinds = sorted({(r.host.count(".") + 1, len(r.path)) for r in rules})
     labels = F.split(host, "\\.", -1)
-    rule, verdict, length = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(-1)
+    best = F.struct(F.lit(-1).alias("n"), F.lit(-1).alias("h"), F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
     for i, (n_labels, n_path) in enumerate(kinds):
         fits = (F.size(labels) >= n_labels) & (F.length(path) >= n_path) & (host != "")
         key = F.when(fits, F.concat(F.array_join(F.slice(labels, F.size(labels) - n_labels + 1, n_labels), "."), F.substring(path, 1, n_path)))
@@ -111,10 +121,9 @@ def _rule_columns(df: DataFrame, rules: tuple[Rule, ...], host: Column, path: Co
         df = df.withColumn(f"_key{i}", F.when(_maybe(key, words), key))
         listed = exact.select(F.col("key").alias(f"_rule{i}"), F.col("verdict").alias(f"_verdict{i}"))
         df = df.join(F.broadcast(listed), F.col(f"_key{i}") == F.col(f"_rule{i}"), "left")  # at most as many rows as rules
-        better = F.coalesce(F.length(f"_rule{i}") > length, F.lit(False))
-        rule, verdict, length = (F.when(better, F.col(f"_rule{i}")).otherwise(rule), F.when(better, F.col(f"_verdict{i}")).otherwise(verdict),
-                                 F.when(better, F.length(f"_rule{i}")).otherwise(length))
-    return df, rule, verdict
+        n = F.coalesce(F.length(f"_rule{i}"), F.lit(-2))
+        best = F.greatest(best, F.struct(n.alias("n"), (n - n_path).alias("h"), F.col(f"_rule{i}").alias("rule"), F.col(f"_verdict{i}").alias("verdict")))
+    return df, best["rule"], best["verdict"]
 
 
 def _listed(df: DataFrame, listed: DataFrame) -> DataFrame:
@@ -139,7 +148,8 @@ def judge_urls(df: DataFrame, rules: tuple[Rule, ...] = RULES, listed: DataFrame
     The longest fitting rule gives the verdict; without one, a listed canonical URL is blocked and
     any other allowed. Null URLs and those without :// have an empty host and path and are allowed.
     Repeated rows are judged alike; extra columns are ignored; an empty table gives no rows. Of two
-    rules with one host and path, either may win.
+    rules with one host and path, block wins; of two equally long ones, the one with the longer host.
+    Listed URLs that are null or have no host list nothing, and repeated ones count once.
     """
     rows = df.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("_url"))
     rows = rows.withColumns({"host": url_host(F.col("_url")), "path": url_path(F.col("_url"))})
@@ -151,17 +161,28 @@ def judge_urls(df: DataFrame, rules: tuple[Rule, ...] = RULES, listed: DataFrame
                        F.coalesce(verdict, F.when(F.col("_listed"), "block").otherwise("allow")).alias("verdict"))
 
 
+def unwanted_urls(pages: DataFrame, *, url_col: str = "url", unwanted: tuple[str, ...] = UNWANTED) -> DataFrame:
+    """(url): the list of the query, all URLs of pages on hosts that have an unwanted label."""
+    labels = F.split(url_host(F.col(url_col)), "\\.", -1)
+    return pages.where(F.arrays_overlap(labels, F.array(*[F.lit(x) for x in unwanted]))).select(F.col(url_col).alias("url"))
+
+
 def op3_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages' URLs under the fixed rules."""
-    return judge_urls(read_table(spark, sf_dir, "pages"))
+    """All pages' URLs under the fixed rules and the list of unwanted URLs."""
+    pages = read_table(spark, sf_dir, "pages")
+    return judge_urls(pages, listed=unwanted_urls(pages))
 
 
-#: The same in DuckDB: every rule against every host, the longest that fits.
+#: The same in DuckDB: every rule against every host, the longest that fits; canonical URLs against the list.
 ORACLE = f"""
 WITH rules(verdict, host, path) AS (VALUES {', '.join(str((r.verdict, r.host, r.path)) for r in RULES)}),
-urls AS (SELECT row_number() OVER () AS rid, page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+urls AS (SELECT row_number() OVER () AS rid, page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+asked AS (SELECT *, array_to_string(list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_')), '&') AS query FROM urls),
+canonical AS (SELECT *, CASE WHEN regexp_replace(host, ':(80|443)$', '') <> '' THEN regexp_replace(host, ':(80|443)$', '') || CASE WHEN path = '' THEN '/' ELSE path END
+    || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS key FROM asked),
+listed AS (SELECT DISTINCT key FROM canonical WHERE list_has_any(string_split(host, '.'), {list(UNWANTED)!r}) AND key IS NOT NULL),
 best AS (SELECT rid, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
     FROM urls u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY rid)
-SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN best USING (rid)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM canonical LEFT JOIN best USING (rid) LEFT JOIN listed USING (key)
 """

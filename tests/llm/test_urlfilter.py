@@ -38,6 +38,21 @@ def test_many_rules(spark):
     assert got == {i: plain(x, rules) for i, x in enumerate(urls)}
 
 
+def test_ties_have_an_order(spark):
+    rules = (u.Rule("allow", "a.org", "/x"), u.Rule("block", "a.org", "/x"), u.Rule("allow", "b.c.org", "/"), u.Rule("block", "c.org", "/xy"))
+    got = {r.page_id: (r.rule, r.verdict) for r in u.judge_urls(frame(spark, ["http://a.org/x", "http://b.c.org/xyz"]), rules).collect()}
+    assert got == {0: ("a.org/x", "block"), 1: ("b.c.org/", "allow")}
+
+
+def test_the_query_blocks_by_its_list(spark):
+    """Fails if the list of URLs, its filter or its join is bypassed."""
+    sf = "/root/testdata/sf0.1"
+    got = u.op3_urlfilter(spark, sf).where("rule is null and verdict = 'block'").collect()
+    assert len(got) > 5 and all(set(r.host.split(".")) & set(u.UNWANTED) for r in got)
+    plan = u.op3_urlfilter(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in plan and "MapInArrow" not in plan and "Python" not in plan
+
+
 def test_listed_urls_are_exact(spark):
     listed = spark.createDataFrame([(f"http://site{i}.org/p{i}",) for i in range(500)] + [(None,), ("HTTPS://Site7.org/p7#x",)], "url string")
     urls = [f"https://SITE{i}.org/p{i}?utm_source=a#f" for i in range(1500)] + [None, "http://site1.org/p1?x=1"]
