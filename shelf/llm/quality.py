@@ -10,6 +10,8 @@ the allowed share is divided among the signals, so their union keeps the bound.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +23,6 @@ RISK, DELTA = 0.05, 0.05
 SHARES = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04)
 RATES = (3.0, 2.0, 1.5, 1.0, 0.8, 0.6, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04)
 GRID = {"symbols": RATES, "bangs": RATES, "caps": SHARES, "dup_lines": SHARES, "repeats": SHARES}
-#: Terms of the binomial tail that are summed one by one; the rest is bounded from above.
-TERMS = 2000
 #: Tables of thresholds up to this many strata are broadcast.
 SMALL_STRATA = 10_000
 
@@ -83,23 +83,39 @@ def _log_gamma(x: Column) -> Column:
     return ((y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)) - F.log(product)
 
 
-def binomial_tail(n: Column, k: Column, p: float, terms: int = TERMS) -> Column:
-    """P(X <= k) for X ~ Bin(n, p), exact up to `terms` terms and never too small beyond; 1 where k >= n p."""
+def _stirling_error(x: Column) -> Column:
+    """ln(x!) less Stirling's formula, for x >= 1."""
+    near = _log_gamma(x + 1) - ((x + 0.5) * F.log(x) - x + 0.9189385332046727)
+    return F.when(x < 16, near).otherwise(1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x))
+
+
+def _binomial_term(n: Column, k: Column, p: float) -> Column:
+    """P(X = k) for X ~ Bin(n, p) and k < n, without differences of great logarithms (Loader's saddle point)."""
+    q = 1 - p
+    away = k * F.log(k / (n * p)) + (n - k) * F.log((n - k) / (n * q))
+    error = _stirling_error(n) - _stirling_error(k) - _stirling_error(n - k)
+    return F.when(k > 0, F.sqrt(n / (2 * math.pi * k * (n - k))) * F.exp(error - away)).otherwise(F.exp(n * math.log1p(-p)))
+
+
+def binomial_tail(n: Column, k: Column, p: float) -> Column:
+    """P(X <= k) for X ~ Bin(n, p), to double precision for any n; 1 where k >= n p.
+
+    The terms below k shrink at least as exp(-j^2 / 2k) after j of them, so those after the first
+    10 sqrt(k) + 50 are less than 1e-21 of the first and cannot change the sum.
+    """
     n, k = n.cast("double"), k.cast("double")
     odds = (1 - p) / p
-    top = F.exp(_log_gamma(n + 1) - _log_gamma(k + 1) - _log_gamma(n - k + 1) + k * F.log(F.lit(p)) + (n - k) * F.log(F.lit(1 - p)))
-    zero = F.struct(F.lit(1.0).alias("sum"), F.lit(1.0).alias("term"), F.lit(0.0).alias("i"))
+    zero = F.struct(F.lit(1.0).alias("sum"), F.lit(1.0).alias("term"))
 
-    def step(a: Column, _: Column) -> Column:
-        at = k - a["i"]
+    def step(a: Column, i: Column) -> Column:
+        at = k - i + 1
         term = F.when(at > 0, a["term"] * at / (n - at + 1) * odds).otherwise(F.lit(0.0))
-        return F.struct((a["sum"] + term).alias("sum"), term.alias("term"), (a["i"] + 1).alias("i"))
+        return F.struct((a["sum"] + term).alias("sum"), term.alias("term"))
 
-    folded = F.aggregate(F.sequence(F.lit(1), F.least(F.lit(terms), F.greatest(F.lit(1), k.cast("int")))), zero, step)
-    left = k - folded["i"]
-    ratio = F.greatest(left, F.lit(0.0)) / (n - left + 1) * odds  # later terms shrink faster than this
-    total = folded["sum"] + F.when(left > 0, folded["term"] * ratio / (1 - ratio)).otherwise(0.0)
-    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), top * total))
+    below = k < n * p
+    terms = F.when(below, F.least(k, F.ceil(10 * F.sqrt(k)) + 50)).otherwise(F.lit(0)).cast("int")
+    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(terms, F.lit(1))), zero, step)
+    return F.when(below, F.least(F.lit(1.0), _binomial_term(n, k, p) * folded["sum"])).otherwise(F.lit(1.0))
 
 
 def thresholds(stats: DataFrame, labels: DataFrame, *, grid: dict[str, tuple[float, ...]] = GRID, risk: float = RISK, delta: float = DELTA) -> DataFrame:
