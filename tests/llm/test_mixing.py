@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelf.llm import mixing as m
 
@@ -60,7 +61,7 @@ def test_mix_is_whole_near_its_targets_and_repeatable(documents):
         assert abs(r.target - want[r.source]) < 1e-6
     for s in names:
         assert abs(taken[s] - want[s]) <= 4 * m.BLOCK
-    assert Counter(tuple(r) for r in m.mix(documents.repartition(7)).collect()) == Counter(tuple(r) for r in got)
+    assert Counter(str(r) for r in m.mix(documents.repartition(7)).collect()) == Counter(str(r) for r in got)
 
 
 def test_mixed_documents_hold_the_words_taken(documents):
@@ -76,6 +77,52 @@ def test_mixed_documents_hold_the_words_taken(documents):
     assert {i: n for i, n in wanted.items() if n} == dict(taken)
 
 
+def brute_shards(rows, shards):
+    """(source, shard) -> words, by dealing every source's blocks to its seats one by one."""
+    import zlib
+
+    streams = {}
+    for r in sorted(rows, key=lambda r: (r.h % m.CHUNKS, r.h, str(r.doc_id), r.size)):
+        streams.setdefault(r.source, []).extend([(r.h, i) for i in range(r.size)])
+    names = sorted(s for s in streams if s is not None) + [s for s in streams if s is None]
+    sizes = [len(streams[s]) for s in names]
+    _, quota = m.quotas(np.array(sizes), np.array([1 + i % 3 for i in range(len(names))]), shards=shards)
+    out = Counter()
+    for s, q in zip(names, quota):
+        blocks = [streams[s][i:i + m.BLOCK] for i in range(0, max(1, len(streams[s])), m.BLOCK)]
+        at = zlib.crc32(f"{m.SEED}:{s}".encode()) % len(blocks)
+        for shard, k in enumerate(q):
+            for _ in range(k):
+                for word in blocks[at % len(blocks)]:
+                    out[s, shard, word] += 1
+                at += 1
+    return out
+
+
+@pytest.mark.parametrize("shards", [1, 5, 16])
+def test_every_shard_gets_its_quota_of_blocks(documents, shards):
+    """Each word of each document is in the shards that dealing block by block puts it in."""
+    rows = documents.where("doc_id is not null").dropDuplicates(["doc_id"])
+    got = m.mix(rows, shards=shards).collect()
+    words = Counter()
+    for r in got:
+        for run in r.runs:
+            for i in range(run["from"], run["to"]):
+                words[r.source, run["shard"], (r.h, i)] += 1
+    assert words == brute_shards(got, shards)
+
+
+def test_rows_without_ids_and_columns_of_any_name(spark):
+    rows = [(None, f"text number {i} " * 20, "a", 1, "k") for i in range(30)] + [("", "empty id " * 20, "a", 2, "k"), (None, "empty id " * 20, "a", 3, "k")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string, _key int, h string").withColumnRenamed("h", "run.to").withColumn("size", F.lit(1)).withColumn("row", F.lit("r"))
+    got = m.mixed_documents(docs, shard_col="shard")
+    assert got.columns == [*docs.columns, "shard"]
+    seen = Counter()
+    for r in got.collect():
+        seen[r["_key"], r.doc_id] += size(r.text)
+    assert seen == {(1, None): 30 * 60, (2, ""): 40, (3, None): 40}
+
+
 def test_shards_have_equal_quotas():
     _, quota = m.quotas(np.array([64_000, 32_000, 8_000]), np.array([1, 2, 3]))
     per_shard = quota.sum(0)

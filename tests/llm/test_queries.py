@@ -21,7 +21,7 @@ COLUMNS = {
     "op3": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op4": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op5": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
-    "op6": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op6": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint", "shard_runs": "string"},
     "op7": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op8": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op9": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
