@@ -1,10 +1,13 @@
-"""BPE encoding and decoding with a public vocabulary, exact for text that does not split.
-
-A text is cut into pieces as the vocabulary's own pre-tokenizer cuts it; short pieces are encoded by
-the library, each distinct one once per worker. A long piece is a tree: its halves' halves are encoded
-in parallel, and every join is mended by encoding a growing window around it again until the window's
-outermost tokens on both sides are those that were there. That makes the whole exact: a sequence of
-tokens is the BPE encoding of its text if and only if every two neighbours are the encoding of theirs.
+"""BPE encoding and decoding with a public vocabulary: long texts as trees of halves.
+
+A long text is cut into halves, and these again, wherever the cuts fall. Leaves are encoded on their
+own: cut into pieces as the vocabulary's pre-tokenizer cuts them, each distinct short piece encoded once
+per worker. Every join is then mended by encoding a growing window of pieces around it again, until the
+window's outermost pieces on both sides are those that were there. That makes the whole exact: the
+pattern that cuts pieces looks ahead only, and no farther than into the next piece, so what stands
+before an agreed piece and what follows one is cut as in the whole text. A piece that is long itself is
+a tree of bytes, whose leaves the library encodes in parallel; there windows are of tokens, and a sequence
+of tokens is the BPE encoding of its text if and only if every two neighbours are that of theirs.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ import hashlib
 import json
 import re
 import unicodedata
-from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 from itertools import chain
 
@@ -24,8 +26,8 @@ from tokenizers import Tokenizer
 
 from shelf.llm.common import map_rows, read_table
 
-#: Pieces of more bytes are encoded as trees with leaves of at most that many.
-LEAF = 1024
+#: Texts of more characters are encoded as trees with leaves of at most that many, and so are pieces of more bytes.
+TEXT_LEAF, LEAF = 4096, 1024
 #: Distinct pieces that a worker remembers before it starts anew.
 REMEMBERED = 400_000
 
@@ -63,7 +65,7 @@ def sure(text: str) -> bool:
 class ByteBpe:
     """A byte-level BPE vocabulary in the library's JSON format (path)."""
 
-    def __init__(self, path: str, leaf: int = LEAF, remembered: int = REMEMBERED):
+    def __init__(self, path: str, leaf: int = LEAF, remembered: int = REMEMBERED, text_leaf: int = TEXT_LEAF):
         with open(path, encoding="utf-8") as f:
             content = json.load(f)
         self.library = Tokenizer.from_file(path)
@@ -71,7 +73,9 @@ class ByteBpe:
         self.library.no_padding()
         if content["normalizer"] is not None or content["pre_tokenizer"].get("type") != "ByteLevel" or content["pre_tokenizer"]["add_prefix_space"]:
             raise ValueError(f"{path} is not a plain byte-level vocabulary")
-        self.leaf, self.remembered = leaf, remembered
+        self.leaf, self.remembered, self.text_leaf = leaf, remembered, text_leaf
+        self.joins = 0  # of texts' trees, so far
+        self._whole = Tokenizer(self.library.model)  # the merges alone: no normalising, no splitting
         self._symbols = byte_symbols()
         byte_of = {s: b for b, s in enumerate(self._symbols)}
         self._special = {t["content"]: t["id"] for t in content["added_tokens"]}
@@ -97,8 +101,7 @@ class ByteBpe:
         parts = [data]
         while len(parts[0]) > self.leaf:
             parts = [half for p in parts for half in (p[: len(p) // 2], p[len(p) // 2:])]
-        with ThreadPoolExecutor(2) as pool:
-            return list(pool.map(self._model, parts))
+        return [e.ids for e in self._whole.encode_batch_fast(["".join(map(self._symbols.__getitem__, p)) for p in parts], add_special_tokens=False)]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbouring texts, from the encodings of each."""
@@ -128,23 +131,47 @@ class ByteBpe:
             self._known[piece] = ids
         return ids
 
+    def _encoded(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        known, piece = self._known, self._piece
+        return [known.get(p) or piece(p) for p in pieces]
+
+    def _join_texts(self, left: tuple[list, list], right: tuple[list, list], find) -> tuple[list, list]:
+        """(pieces, ids of each) of two neighbouring texts, from those of each."""
+        self.joins += 1
+        (lp, li), (rp, ri), k = left, right, 1
+        while True:
+            a, b = lp[-k:], rp[:k]
+            window = find("".join(a + b))
+            if (k >= len(lp) or window[0] == a[0]) and (k >= len(rp) or window[-1] == b[-1]):
+                both = lp[-1] + rp[0]
+                ids = [tuple(self.join(list(li[-1]), list(ri[0]))) if p == both and len(p) > self.leaf else self._encoded([p])[0] for p in window]
+                return (lp[:-k] if k < len(lp) else []) + window + rp[k:], (li[:-k] if k < len(li) else []) + ids + ri[k:]
+            k *= 2
+
+    def _tree(self, text: str, find) -> tuple[list[str], list[tuple[int, ...]]]:
+        """(pieces, ids of each) of a text: its halves' and what their join changes."""
+        if len(text) <= self.text_leaf:
+            pieces = find(text)
+            return pieces, self._encoded(pieces)
+        half = len(text) // 2
+        return self._join_texts(self._tree(text[:half], find), self._tree(text[half:], find), find)
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text as the library gives them without special tokens added; null counts as empty."""
         if not text:
             return []
         if latin(text):
-            pieces = _LATIN_SPLIT
+            find = _LATIN_SPLIT.findall
         elif sure(text):
-            pieces = self._pieces
+            find = self._pieces.findall
         else:
             return self.library.encode(text, add_special_tokens=False).ids
-        known, piece = self._known, self._piece
         ids: list[int] = []
         for part in self._split_special.split(text) if self._split_special else [text]:
             if part in self._special:
                 ids.append(self._special[part])
             elif part:
-                ids.extend(chain.from_iterable([known.get(p) or piece(p) for p in pieces.findall(part)]))
+                ids.extend(chain.from_iterable(self._tree(part, find)[1]))
         return ids
 
     def decode_bytes(self, ids: list[int]) -> bytes:
@@ -193,21 +220,26 @@ def decode_documents(df: DataFrame, path: str | None = None, *, id_col: str = "d
 
 
 def digest_documents(df: DataFrame, path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode, then decode, each whole text in one pass."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_joins: encode, then decode, each whole text in one pass.
+
+    n_joins counts the joins of the text's tree: 0 for texts of one leaf. Null and empty texts have no
+    ids; repeated rows are encoded each; extra columns are ignored; an empty table gives no rows.
+    """
     path = path or default_path()
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def make():
         bpe = load_byte_bpe(path)
 
-        def digest(text: str | None) -> tuple[int, str, str]:
+        def digest(text: str | None) -> tuple[int, str, str, int]:
+            before = bpe.joins
             ids = bpe.encode(text)
             listed = ",".join([bpe.names[i] for i in ids]).encode()
-            return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest()
+            return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest(), bpe.joins - before
 
         return digest
 
-    return map_rows(rows, ["doc_id"], {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}, make)
+    return map_rows(rows, ["doc_id"], {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "n_joins": "int"}, make)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
