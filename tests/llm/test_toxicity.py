@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from shelf.llm import toxicity as t
@@ -55,6 +56,54 @@ def test_awkward_rows_and_no_labels(spark, documents):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_gradient_matches_differences():
+    """Of both risks where the clean one is not negative, and of the step back where it is."""
+    rng = np.random.default_rng(0)
+    for zp, zu, prior in ((rng.standard_normal(5), rng.standard_normal(9), 0.1), (rng.standard_normal(5) + 3, rng.standard_normal(9) - 4, 0.4)):
+        def goal(zp, zu):
+            toxic, clean = t.pu_risks(zp, zu, prior)
+            return toxic + clean if back else -clean
+
+        back = t.pu_risks(zp, zu, prior)[1] >= 0
+        gp, gu = t.pu_gradient(zp, zu, prior)
+        for grad, z in ((gp, zp), (gu, zu)):
+            for i in range(len(z)):
+                before = goal(zp, zu)
+                z[i] += 1e-6
+                assert abs((goal(zp, zu) - before) / 1e-6 - grad[i]) < 1e-4
+                z[i] -= 1e-6
+
+
+def test_counts_cover_all_texts(spark, documents):
+    texts = [r.text for r in documents.collect()]
+    want = [set(t.text_features(x)) for x in texts]
+    buckets = np.array(sorted(set().union(*want)))
+    got, n = t.feature_counts(documents.select("text").repartition(5), buckets)
+    assert n == len(texts) and got.tolist() == [sum(b in x for x in want) for b in buckets]
+
+
+def test_scores_are_sums_of_word_weights(spark, documents):
+    rng = np.random.default_rng(1)
+    words = sorted({b for r in documents.collect() for b in t.text_features(r.text)})
+    model = t.Model({b: float(rng.standard_normal()) for b in words}, -0.7)
+    texts = {r.doc_id: r.text for r in documents.collect() if r.doc_id is not None}
+    for r in t.score_documents(documents, model).collect():
+        if r.doc_id is not None:
+            z = sum(model.weights[b] for b in t.text_features(texts[r.doc_id])) + model.bias
+            assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_copies_and_columns_of_any_name(spark):
+    docs = corpus(spark, 600)
+    hot = docs.limit(1).withColumn("doc_id", F.explode(F.sequence(F.lit(10_000).cast("long"), F.lit(10_400).cast("long"))))
+    both = docs.union(hot).union(hot).withColumn("_score", F.lit("mine")).withColumnRenamed("toxic", "a.b")
+    model = t.train(both, docs.select("doc_id", "toxic"))
+    got = t.keep_clean(both, model)
+    assert got.columns == both.columns and {r["_score"] for r in got.collect()} == {"mine"}
+    found = t.score_documents(docs, model).join(docs.select("doc_id", "toxic"), "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in found) >= 0.95 * len(found)
+
+
 def test_keep_clean_keeps_columns(spark):
     docs = corpus(spark, 600)
     kept = t.keep_clean(docs, t.train(docs, docs.select("doc_id", "toxic")))
