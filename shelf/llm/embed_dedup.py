@@ -5,9 +5,10 @@ concatenated signs. Vectors that stand within a window of each other are compare
 number of passes follows the number of vectors. What share of its links a vector's windows must have
 met follows from the prefixes it shares with the vectors at their ends; where the direction is so
 dense that over MISSED of them may stand outside, the vector is crowded, and all crowded vectors
-near enough to hold a link are compared tile by tile. The verified pairs join into components. Then
-every component's members are compared with each other tile by tile, so the number of links is exact
-within a component however dense it is. Copies of a vector are one class throughout and never compared.
+near enough to hold a link are compared tile by tile. The verified pairs, united across the passes, are
+the links, and join into components. A component that no window can hold, or with crowded vectors in it,
+is beyond the windows' bound: there the members are compared with each other tile by tile, which finds
+all of its links however dense it is. Copies of a vector are one class throughout and never compared.
 """
 
 from __future__ import annotations
@@ -40,6 +41,11 @@ def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two that bring their greatest components near 1: squares neither overflow nor vanish, and no bit is lost."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def usable(vector: Column) -> Column:
     """Not null, with components that are neither null nor non-finite, and not all zero."""
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -101,8 +107,7 @@ def _signatures(classes: DataFrame, passes: int, seed: int) -> DataFrame:
                 if dim not in planes:
                     planes[dim] = _planes(int(dim), passes, seed)
                 x = _vectors(part.column("embedding"))
-                x /= np.abs(x).max(1, keepdims=True)
-                signs = (x @ planes[dim] > 0).reshape(len(part), passes, 64)
+                signs = (_scaled(x) @ planes[dim] > 0).reshape(len(part), passes, 64)
                 packed = np.packbits(signs, axis=2, bitorder="big").view(">u8")[:, :, 0].astype(np.uint64) ^ np.uint64(1 << 63)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.tile(np.arange(passes, dtype=np.int32), len(part))), pa.array(np.full(len(part) * passes, dim, np.int32)),
@@ -152,8 +157,21 @@ def _positions(signatures: DataFrame) -> DataFrame:
     return ordered.join(F.broadcast(offsets), "part").select("pass", "dim", "sig", "cls", (F.col("at") + F.col("offset")).alias("pos"))  # one row per partition
 
 
+def _least(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n rows the least row that links i - j reach from it."""
+    least = np.arange(n)
+    while True:
+        before = least.copy()
+        np.minimum.at(least, i, least[j])
+        np.minimum.at(least, j, least[i])
+        least = least[least]
+        if (least == before).all():
+            return least
+
+
 def neighbour_pairs(classes: DataFrame, *, threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """(src, dst, missed): verified pairs that stand within `window` of each other in some pass; pairs may repeat.
+    Where more than `window` vectors of a block are joined, a pair a vector joins them instead of all their pairs.
 
     classes has cls, dim and embedding. Blocks of `block` positions also get the next block's first
     `window` rows and the last block's last ones, so no pair is lost at an edge. Rows without dst
@@ -169,17 +187,20 @@ def neighbour_pairs(classes: DataFrame, *, threshold: float = THRESHOLD, passes:
         for table in _groups(batches, ["block"]):
             for dim in np.unique(table.column("dim").to_numpy()):
                 part = table.filter(pa.array(table.column("dim").to_numpy() == dim))
-                x, cls, which = _vectors(part.column("embedding")), part.column("cls").to_numpy(), part.column("pass").to_numpy()
+                x, cls, which = _scaled(_vectors(part.column("embedding"))), part.column("cls").to_numpy(), part.column("pass").to_numpy()
                 own = part.column("home").to_numpy() == part.column("block").to_numpy()
                 norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-                src, dst = [], []
+                found = [np.zeros((0, 2), np.int64)]
                 for off in range(1, min(window, len(x) - 1) + 1):
                     cos = np.einsum("ij,ij->i", x[:-off], x[off:]) / (norm[:-off] * norm[off:])
-                    hit = (cos >= threshold) & own[:-off] & (which[:-off] == which[off:])
-                    src.append(cls[:-off][hit])
-                    dst.append(cls[off:][hit])
-                if src:
-                    src, dst = np.concatenate(src), np.concatenate(dst)
+                    hit = np.flatnonzero((cos >= threshold) & own[:-off] & (which[:-off] == which[off:]))
+                    found.append(np.stack([hit, hit + off], 1))
+                i, j = np.concatenate(found).T
+                root = _least(len(x), i, j)
+                wide = np.bincount(root, minlength=len(x))[root] > window  # such a component is compared as a whole later: a pair a row joins it
+                rows = np.flatnonzero(wide & (root != np.arange(len(x))))
+                src, dst = np.concatenate([cls[i[~wide[i]]], cls[rows]]), np.concatenate([cls[j[~wide[i]]], cls[root[rows]]])
+                if len(src):
                     yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst), pa.nulls(len(src), pa.float64())], ["src", "dst", "missed"])
                 most = np.full(len(x), -1)  # bits shared with what stands at the window's ends; what shares more stands inside
                 if len(x) > window:
@@ -257,18 +278,11 @@ def crowded_pairs(crowded: DataFrame, *, threshold: float = THRESHOLD, tile: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, ["dim", "cell", "a", "b"]):
             a, b, mine = table.column("a")[0].as_py(), table.column("b")[0].as_py(), table.column("mine").to_numpy()
-            x, cls = _vectors(table.column("embedding")), table.column("cls").to_numpy()
+            x, cls = _scaled(_vectors(table.column("embedding"))), table.column("cls").to_numpy()
             left, right = np.flatnonzero(mine == a), np.flatnonzero(mine == b)
             norm = np.sqrt(np.einsum("ij,ij->i", x, x))
             i, j = np.nonzero(x[left] @ x[right].T / (norm[left][:, None] * norm[right][None, :]) >= threshold)
-            i, j, least = left[i], right[j], np.arange(len(x))
-            while True:  # the least row that links reach, so a dense tile gives a pair per row
-                before = least.copy()
-                np.minimum.at(least, i, least[j])
-                np.minimum.at(least, j, least[i])
-                least = least[least]
-                if (least == before).all():
-                    break
+            least = _least(len(x), left[i], right[j])  # so a dense tile gives a pair per row
             joined = least != np.arange(len(x))
             yield pa.RecordBatch.from_arrays([pa.array(cls[joined]), pa.array(cls[least[joined]])], ["src", "dst"])
 
@@ -291,7 +305,7 @@ def _tile_links(members: DataFrame, threshold: float, tile: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, ["component", "a", "b"]):
             a, b, mine = table.column("a")[0].as_py(), table.column("b")[0].as_py(), table.column("mine").to_numpy()
-            x, cls, copies = _vectors(table.column("embedding")), table.column("cls").to_numpy(), table.column("copies").to_numpy()
+            x, cls, copies = _scaled(_vectors(table.column("embedding"))), table.column("cls").to_numpy(), table.column("copies").to_numpy()
             left, right = np.flatnonzero(mine == a), np.flatnonzero(mine == b)
             norm = np.sqrt(np.einsum("ij,ij->i", x, x))
             near = x[left] @ x[right].T / (norm[left][:, None] * norm[right][None, :]) >= threshold
@@ -327,11 +341,15 @@ def near_vectors(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     edges = pairs.where("dst is not null").select("src", "dst")
     if not crowded.isEmpty():
         edges = edges.union(crowded_pairs(crowded, threshold=threshold, tile=tile))
-    components = connected_components(edges)
-    members = components.select(F.col("node").alias("cls"), "component").join(classes, "cls")
-    links = _tile_links(members, threshold, tile)
-    found = cut(classes.select("cls", "copies").join(components.select(F.col("node").alias("cls"), "component"), "cls", "left").join(links, "cls", "left")
-                .select("cls", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "cls").alias("component_id")))
+    components = cut(connected_components(edges).select(F.col("node").alias("cls"), "component"))
+    marked = components.join(crowded.select("cls", F.lit(True).alias("beyond")), "cls", "left")
+    dense = marked.groupBy("component").agg(F.count("*").alias("n"), F.max("beyond").alias("beyond")).where((F.col("n") > window) | F.col("beyond")).select("component")
+    copies = classes.select(F.col("cls").alias("dst"), "copies")
+    both = pairs.where("dst is not null").select(F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))).alias("p")).select("p.*").distinct()
+    seen = both.join(copies, "dst").groupBy(F.col("src").alias("cls")).agg(F.sum("copies").alias("seen"))
+    links = _tile_links(components.join(dense, "component").join(classes, "cls"), threshold, tile)
+    found = cut(classes.select("cls", "copies").join(components, "cls", "left").join(seen, "cls", "left").join(links, "cls", "left")
+                .select("cls", (F.col("copies") - 1 + F.coalesce("links", "seen", F.lit(0))).alias("n_links"), F.coalesce("component", "cls").alias("component_id")))
     copied = classes.where("copies > 1").select(F.col("embedding").alias("shared"), F.col("cls").alias("first"))
     named = rows.where(good).join(copied, F.col("embedding") == F.col("shared"), "left").select("vec_id", F.coalesce("first", F.col("vec_id").cast("long")).alias("cls"))
     linked = named.join(found, "cls").select("vec_id", "n_links", "component_id")

@@ -51,6 +51,24 @@ def test_repeated_rows_are_copies(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
 
 
+def test_great_and_small_vectors_link(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal(16)
+    rows = [(0, x), (1, x * 1e200), (2, x * 1e-200), (3, -x * 1e300), (4, (x + 0.05 * rng.standard_normal(16)) * 2.0**900)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in e.near_vectors(table(spark, [(i, v.tolist()) for i, v in rows])).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (0, 3), 4: (3, 0)}
+
+
+def test_links_come_from_the_passes(spark, monkeypatch):
+    """Fails if groups that windows can hold are compared beside the passes."""
+    rng = np.random.default_rng(6)
+    rows = [(6 * c + i, (np.eye(32)[c] + 0.005 * rng.standard_normal(32)).tolist()) for c in range(20) for i in range(6)]
+    seen = []
+    monkeypatch.setattr(e, "_tile_links", lambda members, *_: seen.append(members.count()) or spark.createDataFrame([], "cls long, links long"))
+    got = e.near_vectors(table(spark, rows)).collect()
+    assert seen == [0] and all((r.n_links, r.component_id) == (5, r.vec_id // 6 * 6) for r in got)
+
+
 def test_recall_on_a_whole_table(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
     x = np.array([v for _, v in rows], float)
