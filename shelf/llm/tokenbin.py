@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelf.llm.bpe import LATIN, byte_symbols, default_path, latin, sure
-from shelf.llm.common import map_rows, new_folder, read_table
+from shelf.llm.common import cut, map_rows, new_folder, read_table
 
-#: Bytes of text per file, aimed at; distinct pieces that a worker remembers.
-FILE_TEXT_BYTES, REMEMBERED = 24 << 20, 400_000
+#: Bytes of records per file, aimed at; distinct pieces that a worker remembers.
+FILE_BYTES, REMEMBERED = 8 << 20, 400_000
 END_ID = 1
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<Qi")
@@ -129,26 +129,30 @@ def load_word_bpe(path: str) -> WordBpe:
 
 
 def write_tokens(df: DataFrame, folder: str, path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
-                 file_bytes: int = FILE_TEXT_BYTES) -> None:
+                 file_bytes: int = FILE_BYTES) -> None:
     """Encode all texts and write folder/data (records in ascending id order over the files) and folder/index.
 
-    Null ids come first; rows with one id are in the order of their texts. Null and empty texts are
-    the end id alone. An empty table writes files without records. Files hold about `file_bytes` of text.
+    Texts are encoded where they are read, so that records of about two bytes a token are sorted, and
+    no texts. Null ids come first; rows with one id are in the order of a hash of their texts. Equal rows
+    have equal records and may stand in several files, which hold about `file_bytes` each, so that no
+    repeated row makes a file too large to read; a single record may be larger. Null and empty texts are
+    the end id alone. An empty table writes files without records. Extra columns are ignored.
     """
     path = path or default_path("word_bpe_49k.json")
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text").cast("long") + 64)).first()[0] or 0
-    order = ["doc_id", F.xxhash64("text")]
-    ordered = rows.repartitionByRange(max(1, -(-total // file_bytes)), *order).sortWithinPartitions(*order)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
 
     def make():
         bpe = load_word_bpe(path)
         end = bpe.pack([end_id])
         return lambda doc_id, text: (frame(serialize(doc_id, bpe.encode(text) + end, bpe.width)),)
 
-    records = map_rows(ordered, [], {"record": "binary"}, make)
+    records = map_rows(rows, ["doc_id", "hash"], {"record": "binary"}, make, given=["doc_id", "text"])
+    records = cut(records.withColumn("place", F.monotonically_increasing_id()))
+    total = records.agg(F.sum(F.octet_length("record").cast("long"))).first()[0] or 0
+    order = ["doc_id", "hash", "place"]
+    ordered = records.repartitionByRange(max(1, -(-total // file_bytes)), *order).sortWithinPartitions(*order)
     # the writer ends each record with its line feed, and passes the other bytes on as they are
-    records.select(F.col("record").cast("string").alias("value")).write.text(f"{folder}/data", lineSep="\n")
+    ordered.select(F.col("record").cast("string").alias("value")).write.text(f"{folder}/data", lineSep="\n")
     index = scan_files(spark_files(df.sparkSession, folder), load_width(path))
     index.select("file", "offset", "length", "doc_id", "n_tokens").write.parquet(f"{folder}/index")
 

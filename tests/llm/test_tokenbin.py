@@ -41,7 +41,7 @@ def test_records_detect_damage():
 
 def test_files_round_trip(spark, documents, tmp_path):
     folder = str(tmp_path / "tokens")
-    t.write_tokens(documents, folder, file_bytes=20_000)
+    t.write_tokens(documents, folder, file_bytes=5_000)
     got = t.read_tokens(spark, folder).collect()
     ids = {}
     rows = documents.collect()
@@ -63,6 +63,15 @@ def test_files_round_trip(spark, documents, tmp_path):
         assert doc_id == r.doc_id and len(tokens) == r.n_tokens and tokens.tolist() in ids[doc_id]
 
 
+def test_a_repeated_row_fills_no_single_file(spark, tmp_path):
+    rows = spark.createDataFrame([(7, "one text again " * 50)] * 600 + [(3, "x")], "doc_id long, text string")
+    folder = str(tmp_path / "hot")
+    t.write_tokens(rows.repartition(4), folder, file_bytes=20_000)
+    assert max(len(r.content) for r in t.spark_files(spark, folder).collect()) < 80_000
+    got = sorted(t.read_tokens(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [3] + [7] * 600 and len({r.ids_crc32 for r in got}) == 2
+
+
 def test_empty_table(spark, no_documents, tmp_path):
     t.write_tokens(no_documents, str(tmp_path / "none"))
     assert t.read_tokens(spark, str(tmp_path / "none")).count() == 0
