@@ -1,14 +1,14 @@
-"""Near-duplicate documents by the exact Jaccard similarity of their sets of word shingles.
+"""Exact Jaccard similarity of sets of word shingles, for pairs and groups that a search proposes.
 
-MinHash bands only propose pairs: 20 bands of 5 least hashes meet 0.9996 of the pairs at similarity
-0.8, and more above. Every link is verified on the whole sets. In each band's bucket all members are
-compared with one of them; what is then still in different groups of a bucket is compared pair by
-pair, in tiles. Texts with equal sets are one class and never compared.
+Sets are distributed tables of sorted hashes. Pairs are verified in three steps, so that a group of n
+similar texts costs about n comparisons: each text with the least it may be near to, then what is still
+in different groups. Crowded buckets, whose pairs are never listed, go through their first member and
+tiles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +16,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelf.llm.common import cut, map_rows
+from shelf.llm.common import cut
 from shelf.llm.components import connected_components
 from shelf.llm.embed_dedup import _groups
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, DEPTH, SEED = 20, 5, 11
-#: Classes per tile of a bucket.
+#: Members per tile of a crowded bucket.
 TILE = 256
 
 
@@ -40,41 +39,9 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(found) - size + 1].tolist(), ends[size - 1:].tolist(), strict=True)], np.uint64))
 
 
-def _class(found: np.ndarray) -> int:
-    """A signed name of a set of shingles."""
-    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).astype(np.int64))
-
-
-def _bands() -> Callable[[np.ndarray], list[int]]:
-    """A function of a set of shingles that gives its key in every band; the empty set has none."""
-    draw = np.random.default_rng(SEED)
-    flip, odd = draw.integers(0, 1 << 64, (2, BANDS * DEPTH, 1), np.uint64)
-    odd |= np.uint64(1)
-
-    def keys(found: np.ndarray) -> list[int]:
-        if not len(found):
-            return []
-        least = np.full(BANDS * DEPTH, np.uint64((1 << 64) - 1))
-        for at in range(0, len(found), 2048):
-            least = np.minimum(least, ((found[None, at:at + 2048] ^ flip) * odd).min(1))
-        return [int(np.uint64(xxhash.xxh64_intdigest(b.tobytes(), i)).astype(np.int64)) for i, b in enumerate(least.reshape(BANDS, DEPTH))]
-
-    return keys
-
-
-def _sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, cls, keys) of every row of doc_id and text."""
-
-    def make():
-        keys = _bands()
-
-        def one(text):
-            found = shingles(text, shingle)
-            return _class(found), keys(found)
-
-        return one
-
-    return map_rows(rows, ["doc_id"], {"cls": "long", "keys": "array<long>"}, make)
+def least_size(least: float) -> int:
+    """Smaller sets are never this similar to another set."""
+    return max(1, int(round(least / (1 - least), 9))) if least < 1 else 1
 
 
 def _near(a: np.ndarray, b: np.ndarray, least: float) -> bool:
@@ -93,10 +60,8 @@ def _set(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_py(), np.uint64)
 
 
-def _star_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(src, dst): the members of each bucket that are near its first one."""
-    first = members.groupBy("key").agg(F.min("cls").alias("src"))
-    pairs = members.join(first, "key").where("cls <> src").select("src", F.col("cls").alias("dst")).distinct()
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (src, dst) whose sets (cls, found) are near."""
     joined = (pairs.join(sets.select(F.col("cls").alias("src"), F.col("found").alias("a")), "src")
               .join(sets.select(F.col("cls").alias("dst"), F.col("found").alias("b")), "dst").select("src", "dst", "a", "b"))
 
@@ -138,46 +103,22 @@ def _tile_links(members: DataFrame, sets: DataFrame, least: float, tile: int) ->
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long")
 
 
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY, tile: int = TILE) -> DataFrame:
-    """(doc_id, component_id): the group of near duplicates of every row with an id, named by its smallest id.
+def groups_of(pairs: DataFrame, crowded: DataFrame, sets: DataFrame, *, least: float = SIMILARITY, tile: int = TILE) -> DataFrame:
+    """(node, component): the classes that links join, given what a search proposes.
 
-    Null and wordless texts are one group. Repeated rows are kept. An empty table gives no rows.
+    pairs has distinct (src, dst), src < dst; crowded has (key, cls), buckets in which every two members
+    may be near; sets has (cls, found) of all of these. A pair is compared unless links found before
+    join its ends, so nothing is lost, and a group of similar texts costs few comparisons.
     """
-    texts = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = cut(_sketches(texts, shingle))
-    classes = cut(rows.groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys")))
-    table = classes.select("cls", F.explode("keys").alias("key"))
-    shared = table.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = cut(table.join(shared, "key"))
-    wanted = members.select("cls").distinct().join(classes, "cls").select(F.col("first_id").alias("doc_id")).distinct()
-
-    def whole():
-        def one(text):
-            found = shingles(text, shingle)
-            return _class(found), found.tobytes()
-
-        return one
-
-    sets = map_rows(texts.join(wanted, "doc_id"), ["doc_id"], {"cls": "long", "found": "binary"}, whole)
-    sets = cut(sets.select("cls", "found").dropDuplicates(["cls"]))
-    links = cut(_star_links(members, sets, least))
-    groups = connected_components(links)
-    grouped = members.join(groups, members.cls == groups.node, "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
+    first = crowded.groupBy("key").agg(F.min("cls").alias("src"))
+    stars = crowded.join(first, "key").where("cls <> src").select("src", F.col("cls").alias("dst"))
+    stars = stars.union(pairs.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst")).distinct()
+    links = cut(_verified(stars, sets, least))
+    groups = cut(connected_components(links))
+    named = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+    rest = pairs.join(named("src"), "src", "left").join(named("dst"), "dst", "left").where(F.coalesce("of_src", "src") != F.coalesce("of_dst", "dst")).select("src", "dst")
+    more = _verified(rest.join(stars, ["src", "dst"], "left_anti"), sets, least)
+    grouped = crowded.join(groups, crowded.cls == groups.node, "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
     mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    more = cut(_tile_links(cut(grouped.join(mixed, "key")), sets, least, tile))
-    if not more.isEmpty():
-        groups = connected_components(links.union(more))
-    named = classes.join(groups, classes.cls == groups.node, "left").select("cls", "first_id", F.coalesce("component", "cls").alias("root"))
-    names = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("cls", "component_id")
-    return rows.join(names, "cls").select("doc_id", "component_id")
-
-
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
-    """One row of each group, with all its columns: the group's smallest id stays.
-
-    Of repeated rows with that id one stays. Rows without an id name no group and are kept as they are.
-    """
-    groups = near_copies(df, id_col, text_col, shingle, least)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = df.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.union(df.where(F.col(id_col).isNull()))
+    more = cut(more.union(_tile_links(grouped.join(mixed, "key"), sets, least, tile)))
+    return groups if more.isEmpty() else connected_components(links.union(more))

@@ -4,19 +4,36 @@ Fingerprints are 64 bits over word shingles. Two fingerprints within 3 bits agre
 least one 32-bit half, so each half is a table: every fingerprint looks up the Hamming ball of
 radius 1 around its half, and the full distance of what it meets is verified. Links join distinct
 fingerprints, never copies, and components are found without leaving the cluster.
+
+Texts at a Jaccard similarity of 0.8 are some 10 bits of 64 apart, beyond any table of halves. For them
+(`similar_documents`) the fingerprint is wider: as many segments as make it next to sure that two such
+texts stand within a small ball in one of them, each segment a table of its own. A ball holds the changes
+of a segment's least certain bits, those whose sums were nearest 0, for there nearly all differences
+fall. What is met is verified by the distance of 64 more bits, and then by the whole sets of shingles.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelf.llm import jaccard
 from shelf.llm.common import cut, map_rows, read_table
 from shelf.llm.components import connected_components
 
 SHINGLE, MAX_BITS = 3, 3
+#: Wide fingerprints: sums that signs are taken of, least certain bits of a segment that its ball changes, and the most bits of the check that may differ.
+SUMS, FLIPS, CHECK_BITS, SEED = 4096, 3, 20, 17
+#: The planned share of links at the least similarity that no segment meets, and what hashing to sums may add to the cosine's angle.
+MISSED, SLACK = 0.004, 0.01
+#: A segment's value that more fingerprints than this share is a crowded bucket.
+HOT_SEGMENT = 64
 #: A half that more fingerprints than this share is looked up by finer keys too.
 HOT_HALF = 2048
 
@@ -107,12 +124,150 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each group, with all its columns: the group's smallest id stays.
+def _hadamard(n: int) -> np.ndarray:
+    h = np.ones((1, 1), np.float32)
+    while len(h) < n:
+        h = np.block([[h, h], [h, -h]])
+    return h
+
+
+def wide_sums(sets: list[np.ndarray]) -> np.ndarray:
+    """(texts, SUMS): for each of SUMS bits the sum of +1 and -1 over a text's shingles.
+
+    Bit j of a shingle is the parity of j AND the shingle's bucket, flipped by its sign; sums of all bits
+    are a Hadamard transform of the signed counts of buckets, so their cost does not grow with the text.
+    """
+    side = int(math.sqrt(SUMS))
+    counts = np.zeros((len(sets), SUMS), np.float32)
+    for i, x in enumerate(sets):
+        signs = 1 - 2 * ((x >> np.uint64(40)) & np.uint64(1)).astype(np.float32)
+        counts[i] = np.bincount((x & np.uint64(SUMS - 1)).astype(np.int64), signs, SUMS)
+    h = _hadamard(side)
+    return (h @ counts.reshape(-1, side, side) @ h).reshape(len(sets), SUMS)
+
+
+def segment_bits(n: int) -> int:
+    """Bits of a segment for n fingerprints: about one foreign fingerprint per value."""
+    return min(26, max(12, math.ceil(math.log2(max(n, 2)))))
+
+
+@lru_cache(64)
+def segments_needed(bits: int, least: float, missed: float = MISSED) -> int:
+    """Segments of so many bits after which two texts of one size at the least similarity miss each other with this probability.
+
+    Two sums over texts at a cosine c are normal with that correlation; which sign differs depends on how
+    near 0 the sum is. The probability that all differences fall on the FLIPS least certain bits is drawn.
+    """
+    cosine = 2 * least / (1 + least) - SLACK
+    tangent = math.sqrt(1 - cosine * cosine) / cosine
+    sizes = np.sort(np.abs(np.random.default_rng(SEED).standard_normal((4000, bits))), axis=1)
+    same = np.vectorize(lambda x: 0.5 * (1 + math.erf(x / tangent / math.sqrt(2))))(sizes[:, FLIPS:])
+    met = float(same.prod(1).mean())
+    return min((SUMS - 65) // bits, math.ceil(math.log(missed) / math.log1p(-met)))
+
+
+def _sketcher(bits: int, segments: int) -> Callable[[list[np.ndarray]], tuple[np.ndarray, np.ndarray]]:
+    """A function of sets of shingles: the 64 check bits as longs, and per segment its number, bits and least certain places in one long."""
+    order = 1 + np.random.default_rng(SEED).permutation(SUMS - 1)
+    check, columns = order[:64], order[64:64 + bits * segments]
+    powers, number = 1 << np.arange(bits, dtype=np.int64), np.arange(segments, dtype=np.int64) << 26
+
+    def sketch(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        sums = wide_sums(sets)
+        checks = np.ascontiguousarray(np.packbits(sums[:, check] > 0, axis=1)).view(">i8").astype(np.int64)[:, 0]
+        parts = sums[:, columns].reshape(len(sets), segments, bits)
+        weak = np.argpartition(np.abs(parts), FLIPS - 1, axis=2)[:, :, :FLIPS].astype(np.int64)
+        values = (parts > 0) @ powers + number
+        for k in range(FLIPS):
+            values = values << 5 | weak[:, :, k]
+        return checks, values
+
+    return sketch
+
+
+def wide_fingerprints(texts: DataFrame, shingle: int, least: float, bits: int, segments: int) -> DataFrame:
+    """(doc_id, name, check, segments) of rows of doc_id and text: name hashes the whole set of shingles; sets too small to have a near one have no segments."""
+
+    def make():
+        sketch = _sketcher(bits, segments)
+
+        def run(batch: list) -> list[tuple]:
+            sets = [jaccard.shingles(t, shingle) for t in batch]
+            names = [int(np.uint64(xxhash.xxh64_intdigest(x.tobytes(), SEED)).astype(np.int64)) for x in sets]
+            searched = [i for i, x in enumerate(sets) if len(x) >= jaccard.least_size(least)]
+            rows = [(name, 0, []) for name in names]
+            if searched:
+                checks, values = sketch([sets[i] for i in searched])
+                for i, c, v in zip(searched, checks.tolist(), values.tolist(), strict=True):
+                    rows[i] = (names[i], c, v)
+            return rows
+
+        return run
+
+    return map_rows(texts, ["doc_id"], {"name": "long", "check": "long", "segments": "array<long>"}, make, 64)
+
+
+def _segment(packed: Column) -> Column:
+    return F.shiftright(packed, 5 * FLIPS)
+
+
+def _ball(packed: Column) -> Column:
+    """A segment's value under all changes of its least certain bits, itself first."""
+    places = [F.shiftright(packed, 5 * k).bitwiseAND(F.lit(31)).cast("int") for k in range(FLIPS)]
+    masks = [F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in places]
+    values = [_segment(packed)]
+    for mask in masks:
+        values += [v.bitwiseXOR(mask) for v in values]
+    return F.array(*values)
+
+
+def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = jaccard.SHINGLE, least: float = jaccard.SIMILARITY,
+                      hot: int = HOT_SEGMENT, tile: int = jaccard.TILE) -> DataFrame:
+    """(doc_id, component_id): the group of every row with an id, linked by the Jaccard similarity of word shingles, named by its smallest id.
+
+    Links are verified on whole sets, so none is false; two texts of one size at exactly the least
+    similarity miss each other with a probability of about MISSED, more similar ones with far less. Texts
+    with equal sets are one class and never compared. Null and wordless texts are one group. Repeated
+    rows are kept; extra columns are ignored; an empty table gives no rows. A segment's value that over
+    `hot` classes share is a crowded bucket, whose pairs are never listed.
+    """
+    texts = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    bits = segment_bits(texts.select("doc_id").count())
+    rows = cut(wide_fingerprints(texts, shingle, least, bits, segments_needed(bits, least)))
+    classes = cut(rows.groupBy("name").agg(F.min("doc_id").alias("first_id"), F.first("check").alias("check"), F.first("segments").alias("segments"))
+                  .withColumn("cls", F.monotonically_increasing_id()))
+    entries = classes.select("cls", "check", F.explode("segments").alias("packed"))
+    table = entries.select(F.col("cls").alias("met"), F.col("check").alias("met_check"), _segment(F.col("packed")).alias("key"))
+    probes = entries.select("cls", "check", F.explode(_ball(F.col("packed"))).alias("key"))
+    buckets = cut(table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
+    near = (F.col("cls") != F.col("met")) & (F.bit_count(F.col("check").bitwiseXOR(F.col("met_check"))) <= CHECK_BITS)
+    cold = table if buckets.isEmpty() else table.join(buckets, "key", "left_anti")
+    pairs = cut(probes.join(cold, "key").where(near).select(F.least("cls", "met").alias("src"), F.greatest("cls", "met").alias("dst")).distinct())
+    crowded = cut(probes.join(buckets, "key").select("key", "cls").distinct())
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("cls")).union(crowded.select("cls")).distinct()
+    wanted = wanted.join(classes, "cls").select("cls", F.col("first_id").alias("doc_id"), "name")
+
+    def whole():
+        def one(text):
+            found = jaccard.shingles(text, shingle)
+            return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).astype(np.int64)), found.tobytes()
+
+        return one
+
+    sets = map_rows(texts.join(wanted.select("doc_id").distinct(), "doc_id"), ["doc_id"], {"name": "long", "found": "binary"}, whole)
+    sets = cut(sets.join(wanted.select("cls", "name"), "name").select("cls", "found").dropDuplicates(["cls"]))
+    groups = jaccard.groups_of(pairs, crowded, sets, least=least, tile=tile)
+    named = classes.join(groups, classes.cls == groups.node, "left").select("name", "first_id", F.coalesce("component", "cls").alias("root"))
+    names = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("name", "component_id")
+    return rows.select("doc_id", "name").join(names, "name").select("doc_id", "component_id")
+
+
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = jaccard.SHINGLE, least: float = jaccard.SIMILARITY) -> DataFrame:
+    """One row of each group of similar documents, with all its columns whatever their names: the group's smallest id stays.
 
     Of repeated rows with that id one stays. Rows without an id name no group and are kept as they are.
     """
-    groups = simhash_components(df.where(F.col(id_col).isNotNull()), id_col, text_col, max_bits)
+    groups = similar_documents(df, id_col, text_col, shingle, least)
     keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = df.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col])
     return kept.union(df.where(F.col(id_col).isNull()))

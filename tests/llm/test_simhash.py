@@ -77,7 +77,7 @@ def test_deduplicate_keeps_one_of_each_group(documents):
     assert kept.columns == documents.columns
     ids = [r.doc_id for r in kept.collect()]
     named = [i for i in ids if i is not None]
-    groups = {r.doc_id: r.component_id for r in s.simhash_components(documents.where("doc_id is not null")).collect()}
+    groups = {r.doc_id: r.component_id for r in s.similar_documents(documents).collect()}
     assert len(named) == len(set(named)) == len(set(groups.values()))
     assert ids.count(None) == 2
 

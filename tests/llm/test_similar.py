@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from shelf.llm import jaccard as j
+from shelf.llm import simhash as j
 
 
 def plain(text):
@@ -51,8 +53,27 @@ def test_groups_match_brute_force(spark):
     rows = corpus()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
-    for tile in (256, 8):
-        assert {r.doc_id: r.component_id for r in j.near_copies(frame, tile=tile).collect()} == want
+    for hot, tile in ((64, 256), (2, 8)):
+        assert {r.doc_id: r.component_id for r in j.similar_documents(frame, hot=hot, tile=tile).collect()} == want
+
+
+def test_recall_at_the_least_similarity():
+    """Pairs of texts at a similarity of 0.8 stand in each other's ball in some segment as often as planned, and foreign ones hardly ever."""
+    rng = np.random.default_rng(4)
+    for size in (45, 450, 4500):
+        sets = []
+        for _ in range(400 if size < 4500 else 120):  # 8/9 of each set is shared
+            x = rng.integers(0, 1 << 63, size + size // 9, np.uint64)
+            sets += [np.sort(x[: size]), np.sort(x[size // 9:])]
+        bits = j.segment_bits(1 << 18)
+        checks, packed = j._sketcher(bits, j.segments_needed(bits, 0.8))(sets)
+        place, keys = [packed >> 5 * k & 31 for k in range(3)], packed >> 15
+        ball = np.stack([keys ^ sum((1 << place[k]) * (m >> k & 1) for k in range(3)) for m in range(8)], 2)
+        apart = np.array([bin((int(a) ^ int(b)) & (2**64 - 1)).count("1") for a, b in zip(checks[::2], checks[1::2])])
+        met = ((ball[::2] == keys[1::2][:, :, None]) | (ball[1::2] == keys[::2][:, :, None])).any((1, 2)) & (apart <= j.CHECK_BITS)
+        foreign = (ball[:-2:2] == keys[2::2][:, :, None]).any(2).mean()
+        print(size, "met", met.mean(), "bits apart", apart.mean(), "foreign", foreign)
+        assert met.mean() >= 0.98 and foreign < 8 / 2**bits * 8
 
 
 def test_the_stage_drops_edited_copies(spark):
@@ -66,5 +87,5 @@ def test_the_stage_drops_edited_copies(spark):
 def test_awkward_rows_and_an_empty_table(documents, no_documents):
     ids = [r.doc_id for r in j.deduplicate(documents).collect()]
     assert ids.count(None) == 2 and len(ids) - 2 == len(set(ids) - {None})
-    assert j.near_copies(no_documents).count() == 0
+    assert j.similar_documents(no_documents).count() == 0
     assert j.deduplicate(no_documents).count() == 0
