@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelf.llm import bpe, jaccard, mixing, pii, toxicity
+from shelf.llm import bpe, mixing, pii, simhash, toxicity
 from shelf.llm.common import new_folder, read_table
 
 
@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 on five-word shingles."""
-    return jaccard.deduplicate(docs)
+    """One document of each group that SimHash finds and a Jaccard similarity of 0.8 on five-word shingles links."""
+    return simhash.deduplicate(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
