@@ -31,7 +31,7 @@ SHINGLE, MAX_BITS = 3, 3
 #: Wide fingerprints: sums that signs are taken of, least certain bits of a segment that its ball changes, and the most bits of the check that may differ.
 SUMS, FLIPS, CHECK_BITS, SEED = 4096, 3, 20, 17
 #: The planned share of links at the least similarity that no segment meets, and what hashing to sums may add to the cosine's angle.
-MISSED, SLACK = 0.004, 0.01
+MISSED, SLACK = 0.002, 0.01
 #: A segment's value that more fingerprints than this share is a crowded bucket.
 HOT_SEGMENT = 64
 #: A half that more fingerprints than this share is looked up by finer keys too.
@@ -155,14 +155,15 @@ def segment_bits(n: int) -> int:
 def segments_needed(bits: int, least: float, missed: float = MISSED) -> int:
     """Segments of so many bits after which two texts of one size at the least similarity miss each other with this probability.
 
-    Two sums over texts at a cosine c are normal with that correlation; which sign differs depends on how
-    near 0 the sum is. The probability that all differences fall on the FLIPS least certain bits is drawn.
+    Sums over two texts at a cosine c are normal with that correlation. They meet where all signs that differ are
+    among the FLIPS least certain ones of either, as drawn pairs show.
     """
     cosine = 2 * least / (1 + least) - SLACK
-    tangent = math.sqrt(1 - cosine * cosine) / cosine
-    sizes = np.sort(np.abs(np.random.default_rng(SEED).standard_normal((4000, bits))), axis=1)
-    same = np.vectorize(lambda x: 0.5 * (1 + math.erf(x / tangent / math.sqrt(2))))(sizes[:, FLIPS:])
-    met = float(same.prod(1).mean())
+    x, z = np.random.default_rng(SEED).standard_normal((2, 20_000, bits))
+    y = cosine * x + math.sqrt(1 - cosine * cosine) * z
+    differ = np.signbit(x) != np.signbit(y)
+    inside = lambda v: (differ & (np.abs(v).argsort(1).argsort(1) < FLIPS)).sum(1) == differ.sum(1)
+    met = float((inside(x) | inside(y)).mean())
     return min((SUMS - 65) // bits, math.ceil(math.log(missed) / math.log1p(-met)))
 
 
