@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelf.functions.text import file_key, register_functions
-from shelf.operators import claims, exports, facets, inspection, language, matching, rollup, validate
+from shelf.operators import authors, claims, exports, facets, fingerprints, inspection, language, matching, rollup, validate
 from shelf.settings import Settings
 from shelf.sources import archives, datasets, dumps, exchange
 
@@ -105,9 +105,16 @@ def merge(spark: SparkSession, cache: Cache, settings: Settings, dump_date: str
     if entries is not None:
         layouts = archives.archive_layouts(entries)
         ids = layouts.select(F.col("id").alias("_id"), F.col("name").alias("_name"))
-        entries = entries.join(F.broadcast(ids), F.col("archive") == F.col("_name")).withColumn("archive", F.col("_id")).drop("_id", "_name")  # a row per archive
+        layouts = layouts.join(archives.layout_spans(entries), layouts.name == F.col("of"), "left").drop("of")
+        unknown = F.raise_error(F.concat(F.lit("undeclared archive "), F.col("archive")))
+        entries = entries.join(ids, F.col("archive") == F.col("_name"), "left").withColumn("archive", F.coalesce("_id", unknown)).drop("_id", "_name")  # a row per archive
     rows = claims.dataset_rows(merge_records(entries, catalogue))
-    return datasets.Dataset(datasets.dataset_header(rows, layouts, library=settings.library, dump_date=dump_date), rows)
+    collisions = None
+    if catalogue is not None and "authors" in catalogue.columns:
+        people = catalogue.select(F.explode("authors").alias("p")).select(F.col("p.person_id").cast("string").alias("id"), "p.last_name", "p.first_name", "p.middle_name", "p.nick_name")
+        collisions = authors.collision_groups(people)
+    header = datasets.dataset_header(rows, layouts, library=settings.library, created=time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), dump_date=dump_date, collisions=collisions, read=datasets.fb2_coverage(rows))
+    return datasets.Dataset(header, rows)
 
 
 def check_dataset(dataset: datasets.Dataset) -> list[str]:
@@ -117,7 +124,8 @@ def check_dataset(dataset: datasets.Dataset) -> list[str]:
     listed = [(a["id"], a["ordinal"], a["entries"]) for a in dataset.header["archives"]]
     layouts = spark.createDataFrame(listed, "id string, ordinal long, entries long")
     for name, bad in (("undeclared observations", validate.undeclared_observations(dataset.rows)), ("undeclared sources", validate.undeclared_sources(dataset.rows, layouts)),
-                      ("indexes beyond their archive", validate.bad_archive_indexes(dataset.rows, layouts)), ("another number of records", validate.count_error(dataset.header["records"], dataset.rows))):
+                      ("indexes beyond their archive", validate.bad_archive_indexes(dataset.rows, layouts)), ("another number of records", validate.count_error(dataset.header["records"], dataset.rows)),
+                      *([("records out of order", validate.order_errors(dataset.rows, layouts))] if "pos" in dataset.rows.columns else [])):
         if n := bad.count():
             errors.append(f"{name}: {n}")
     return errors
@@ -146,23 +154,71 @@ def export(dataset: datasets.Dataset, settings: Settings, layout: str, options:
     spark = dataset.rows.sparkSession
     register_functions(spark)
     view = _view(dataset, settings)
+    listed = dataset.header["archives"]
+    layouts = spark.createDataFrame([(a["id"], a["entries"]) for a in listed], "id string, entries long")
+    spans = [(a["id"], r["start"], r["end"]) for a in listed for r in a.get("ignored") or []]
+    ignored = spark.createDataFrame(spans, "archive string, start long, end long") if spans else None
     if layout == "positional":
-        listed = [(a["id"], a["entries"]) for a in dataset.header["archives"]]
-        lines = exports.positional_export(view, spark.createDataFrame(listed, "id string, entries long"), None, options)
+        lines = exports.positional_export(view, layouts, ignored, options)
     elif layout == "multi-series":
-        lines = exports.multi_series_export(view, options)
+        lines = exports.multi_series_export(view, options, ignored, online=not listed)
     elif layout == "slice":
-        return exports.slice_export(view, where, split_by, options)
+        return exports.slice_export(view, where, split_by, options, ignored)
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return lines.withColumn("member", F.concat("archive", F.lit(".inp")))
 
 
-def write_export(lines: DataFrame, path: str, settings: Settings, dump_date: str, members: list[str] | None = None) -> None:
-    """An export as one ZIP, with its information members."""
+def write_export(lines: DataFrame, path: str, settings: Settings, dump_date: str, members: list[str] | None = None, structure: str = "") -> None:
+    """An export as one ZIP, with its information members; structure is the field list of layouts that say theirs."""
     order = [c for c in ("index", "book_row") if c in lines.columns]
     info = {"collection.info": exchange.collection_info(settings.library, dump_date), "version.info": exchange.version_info(dump_date)}
-    exchange.write_zip(lines, path, order=order, members=members, info=info)
+    if structure:
+        info = {"structure.info": exchange.structure_info(structure)} | info
+    exchange.write_zip(lines, path, order=order, members=members, info=info, comment=exchange.zip_comment(settings.library, dump_date))
+
+
+def export_members(dataset: datasets.Dataset, layout: str) -> list[str]:
+    """The members that an export has even without lines: one per declared archive, but for slices."""
+    return [] if layout == "slice" else [f"{a['id']}.inp" for a in dataset.header["archives"]]
+
+
+def write_annotations(dataset: datasets.Dataset, settings: Settings, path: str) -> int:
+    """The annotations of books, an XML member per archive that has any, as one ZIP; without any no file. Returns the members."""
+    found = exports.annotations(_view(dataset, settings)).select(F.concat("archive", F.lit(".xml")).alias("member"), F.col("xml").alias("line"))
+    if found.isEmpty():
+        return 0
+    exchange.write_zip(found, path)
+    return found.count()
+
+
+def write_compilations(dataset: datasets.Dataset, path: str) -> int:
+    """Books that hold other books, as compilations.json in one ZIP; without any no file. Returns the compilations."""
+    rows = dataset.rows
+    if "fb2_sections" not in rows.columns:
+        return 0
+    named = rows.withColumn("book", F.concat_ws("\x00", "locator.source", F.col("locator.index").cast("string")))
+    sections = named.select("book", F.explode("fb2_sections").alias("s")).select("book", F.col("s.pos").alias("pos"), "s.depth", "s.key", "s.leaf")
+    roots = sections.where("depth = 0").select("key", F.col("book").alias("match"))
+    books = named.select("book", F.col("locator.source").alias("folder"), F.col("artifact.name").alias("file"))
+    found = exports.compilations_json(fingerprints.compilation_parts(sections, roots), books)
+    if found.isEmpty():
+        return 0
+    whole = found.agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("json")), ","), F.lit("]")).alias("line")).select(F.lit("compilations.json").alias("member"), "line")
+    exchange.write_zip(whole, path)
+    return found.count()
+
+
+def new_downloads(spark: SparkSession, pages: str, folder: str, pattern: str) -> DataFrame:
+    """(link, begin, end): what index pages (a folder of texts) offer beyond the archives of a folder, by begin.
+
+    pattern has two groups, the first and the last id of a file's name, and fits links and names alike.
+    """
+    texts = spark.read.text(pages, wholetext=True)
+    links = rollup.page_links(texts, "value", f'href="([^"]*{pattern}[^"]*)"')
+    here = archives.archive_files(spark, folder).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
+    last = rollup.high_water(here, "name", pattern).first()["end"]  # one row
+    return rollup.new_ranges(links, pattern, last or 0).orderBy("begin")
 
 
 def plan_rollup(finalised: DataFrame, active: DataFrame, updates: DataFrame, settings: Settings) -> tuple[DataFrame, int]:

@@ -118,6 +118,26 @@ def person_name(last: Column, first: Column, middle: Column, suffix: Column | No
     return F.when(F.concat(*names) == "", "").otherwise(F.concat(names[0], F.lit(","), names[1], F.lit(","), names[2], F.lit(":")))
 
 
+def limited_person(last: Column, first: Column, middle: Column, suffix: Column, most: tuple[int, int, int], enabled: bool = True) -> Column:
+    """Last,First,Middle: with each part cut to its limit; what tells authors apart is never cut, the name before it is."""
+    family, tail = cleanse_author(present(last)), cleanse_author(present(suffix))
+    if enabled and most[0] > 0:
+        room = most[0] - 2 - F.length(tail)
+        cut = F.when(F.length(family) > room, F.regexp_replace(family.substr(F.lit(1), F.greatest(room, F.lit(0))), r"[ \t]+$", "")).otherwise(family)
+        tailed = F.when(room <= 0, tail).otherwise(F.trim(F.concat(cut, F.lit(" "), tail)))
+    else:
+        tailed = F.trim(F.concat(family, F.lit(" "), tail))
+    names = [F.when(tail == "", truncate_field(family, most[0], enabled)).otherwise(tailed), truncate_field(cleanse_author(present(first)), most[1], enabled),
+             truncate_field(cleanse_author(present(middle)), most[2], enabled)]
+    return F.when(F.concat(*names) == "", "").otherwise(F.concat(names[0], F.lit(","), names[1], F.lit(","), names[2], F.lit(":")))
+
+
+def limited_people(array: Column, most: tuple[int, int, int], enabled: bool = True) -> Column:
+    """All names of an array of persons, each cut to its limits; a fixed literal for none."""
+    listed = F.array_join(F.transform(array, lambda p: limited_person(p["last_name"], p["first_name"], p["middle_name"], p["suffix"], most, enabled)), "")
+    return F.when(present(listed) == "", UNKNOWN_AUTHOR).otherwise(listed)
+
+
 def people(array: Column) -> Column:
     """All names of an array of persons (last_name, first_name, middle_name, suffix); a fixed literal for none."""
     listed = F.array_join(F.transform(array, lambda p: person_name(p["last_name"], p["first_name"], p["middle_name"], p["suffix"])), "")

@@ -13,9 +13,24 @@ def series_number(text: Column) -> Column:
     return text.try_cast("double").try_cast("bigint")
 
 
-def series_number_text(value: Column, text: Column) -> Column:
-    """The truncated value, or else the raw text."""
-    return F.coalesce(value.try_cast("bigint").cast("string"), text, F.lit(""))
+def series_number_text(text: Column) -> Column:
+    """A series number as exports show it: truncated to an integer where it is a number, else the raw text."""
+    return F.coalesce(series_number(text).cast("string"), text, F.lit(""))
+
+
+def number_of(text: Column, kind: str = "double") -> Column:
+    """The number that a text is, beside which the text stays; null where it is none."""
+    return F.trim(text).try_cast(kind)
+
+
+def ensure_dump_date(dump_date: str, today: str) -> tuple[str, bool]:
+    """A compact dump date, and whether it had to be made up from today's date (YYYY-MM-DD)."""
+    return (dump_date, False) if dump_date else (today.replace("-", ""), True)
+
+
+def dataset_id(unique: Column | None = None) -> Column:
+    """A new dataset's URN, from a random UUID unless one is given."""
+    return F.concat(F.lit("urn:uuid:"), F.expr("uuid()") if unique is None else unique)
 
 
 def positive(value: Column) -> Column:
@@ -23,7 +38,8 @@ def positive(value: Column) -> Column:
 
 
 def positive_text(value: Column) -> Column:
-    return F.when(value > 0, value.cast("string")).otherwise("")
+    """An id as text; empty where it is not positive."""
+    return F.coalesce(positive(value).cast("string"), F.lit(""))
 
 
 def rating_text(average: Column, count: Column) -> Column:

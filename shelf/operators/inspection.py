@@ -20,8 +20,8 @@ def lookup_mode(**options) -> str:
 
 
 def has_book(book_id: int) -> Column:
-    """A row whose locator, or any catalogue identity, is the book."""
-    return (F.coalesce(F.col("locator.book_id") == book_id, F.lit(False))
+    """A row whose locator, any catalogue identity, or any observation is of the book."""
+    return (F.coalesce(F.col("locator.book_id") == book_id, F.lit(False)) | F.exists("observations", lambda o: F.coalesce(o["book_id"] == book_id, F.lit(False)))
             | F.exists("identities", lambda i: (i["scheme"] == "catalog.book") & (i["value"] == str(book_id))))
 
 

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from shelf.operators.ranges import order_violations
 
+DATASET_SCHEMA, RECORD_SCHEMA = "shelf/dataset/1", "shelf/record/1"
+#: What records are ordered by, for each mode.
+ORDERING_KEYS = {"archive_entry": {"archive_key": "ordinal", "entry_key": "index"}, "database_book": {"source": "database", "entry_key": "book_id"}}
+
 
 def dangling(rows: DataFrame, dimension: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key the dimension lacks."""
@@ -19,7 +23,7 @@ def undeclared_observations(rows: DataFrame) -> DataFrame:
         return F.transform(column, lambda x: F.struct(F.lit(place).alias("place"), x["observation"].alias("observation")))
 
     parts = [named(c, F.col(c)) for c in rows.columns if c.startswith("claim_")]
-    parts += [named("identity", F.col("identities")), named("size", F.col("artifact.sizes")), named("occurrence", F.col("artifact.occurrences")), named("relation", F.col("relations"))]
+    parts += [named("identity", F.col("identities")), named("size", F.col("artifact.sizes")), named("occurrence", F.col("artifact.occurrences")), named("checksum", F.col("artifact.checksums")), named("relation", F.col("relations"))]
     declared = F.transform("observations", lambda o: o["id"])
     flat = rows.select("locator", declared.alias("_ids"), F.explode(F.flatten(F.array(*parts))).alias("r"))
     return flat.where(~F.array_contains("_ids", F.col("r.observation"))).select("locator", "r.place", "r.observation")
@@ -56,6 +60,9 @@ def order_errors(rows: DataFrame, archives: DataFrame) -> DataFrame:
 def header_errors(header: dict) -> list[str]:
     """What is wrong with a dataset's header."""
     errors = []
+    for key, known in (("schema", DATASET_SCHEMA), ("record_schema", RECORD_SCHEMA)):
+        if key in header and header[key] != known:
+            errors.append(f"{key} is {header[key]!r}, not {known!r}")
     if header.get("records", -1) < 0:
         errors.append("records must not be negative")
     archives = header.get("archives") or []
@@ -67,6 +74,8 @@ def header_errors(header: dict) -> list[str]:
         errors.append("unknown ordering mode")
     elif (ordering["mode"] == "archive_entry") != bool(archives):
         errors.append("ordering mode and archives disagree")
+    elif ordering.get("direction", "ascending") != "ascending" or any(ordering.get(k, v) != v for k, v in ORDERING_KEYS[ordering["mode"]].items()):
+        errors.append("ordering keys and mode disagree")
     return errors
 
 

@@ -13,8 +13,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelf.functions.values import dataset_id
+from shelf.operators.inspection import coverage
+from shelf.operators.validate import DATASET_SCHEMA, ORDERING_KEYS, RECORD_SCHEMA
+
 SUFFIXES = (".jsonl", ".jsonl.gz", ".jsonl.zst", ".jsonl.zip")
-DATASET_SCHEMA, RECORD_SCHEMA = "shelf/dataset/1", "shelf/record/1"
 
 
 @dataclass(frozen=True)
@@ -73,12 +76,34 @@ def read_dataset(spark: SparkSession, path: str, schema: str, check: bool = True
     return Dataset(header, rows)
 
 
-def dataset_header(rows: DataFrame, archives: DataFrame | None = None, *, library: str = "", created: str = "", dump_date: str = "") -> dict:
-    """The header of rows: counts, archives in order, and how records are ordered."""
-    listed = [r.asDict() for r in archives.orderBy("ordinal").collect()] if archives is not None else []  # one row per archive
+def fb2_coverage(rows: DataFrame) -> str:
+    """How much of the archives' books was read: absent, partial or complete."""
+    of = lambda ok: F.count_if(F.exists("observations", lambda o: (o["id"] == "fb2") & ok(o["status"])))
+    counts = rows.agg(of(lambda s: s == "present").alias("a"), of(lambda s: s.isNotNull()).alias("n"))
+    return counts.select(coverage(F.col("a"), F.col("n"))).first()[0]
+
+
+def dataset_header(rows: DataFrame, archives: DataFrame | None = None, *, library: str = "", created: str = "", dump_date: str = "", dumps: DataFrame | None = None,
+                   collisions: DataFrame | None = None, read: str = "") -> dict:
+    """The header of rows: an id of its own, counts, archives in order with their ignored and dummy ranges, the dumps, authors of one name, and how records are ordered."""
+    listed = [r.asDict(recursive=True) for r in archives.orderBy("ordinal").collect()] if archives is not None else []  # one row per archive
+    listed = [{k: v for k, v in a.items() if v is not None} for a in listed]
     mode = "archive_entry" if listed else "database_book"
-    return {"schema": DATASET_SCHEMA, "record_schema": RECORD_SCHEMA, "library": library, "created": created, "records": rows.count(),
-            "database": {"dump_date": dump_date} if dump_date else None, "archives": listed, "ordering": {"mode": mode, "direction": "ascending"}}
+    database = {"dump_date": dump_date} if dump_date else {}
+    if dumps is not None:
+        database["dumps"] = [r.asDict() for r in dumps.orderBy("name").collect()]  # one row per dump
+    if collisions is not None:
+        groups = collisions.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("authors")).orderBy("key")
+        if found := [{"key": r["key"], "authors": r["authors"]} for r in groups.collect()]:  # a row per name that several authors have
+            database["ambiguous_authors"] = found
+    made = rows.sparkSession.range(1).select(dataset_id()).first()[0]
+    return {"schema": DATASET_SCHEMA, "id": made, "record_schema": RECORD_SCHEMA, "library": library, "created": created, "records": rows.count(), "generator": {"name": "shelf"}, "normalization": {"model": "claims"},
+            "database": database or None, "archives": listed, "ordering": ordering_of(mode), "processing": {"fb2": read} if read else None}
+
+
+def ordering_of(mode: str) -> dict:
+    """How a dataset's records are ordered: by archive and entry, or by the catalogue's book."""
+    return {"mode": mode, **ORDERING_KEYS[mode], "direction": "ascending"}
 
 
 def _compressed(target: str, compression: str):

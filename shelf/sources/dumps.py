@@ -13,6 +13,8 @@ from shelf.functions.values import dump_stamp
 from shelf.operators.facets import DIALECT_B, IMPORTED_B
 
 TAIL = 4096
+#: Fixed value: the dump whose rows may have a surrogate key before the declared columns.
+ALIAS_DUMP = "libavtoraliase.sql"
 _ESCAPES = {"0": "\0", "n": "\n", "r": "\r", "t": "\t", "b": "\b", "Z": "\x1a"}
 _INSERT = re.compile(r"INSERT\s+(?:IGNORE\s+)?INTO\s+`?(\w+)`?\s*(?:\(([^)]*)\))?\s*VALUES\s*", re.I)
 _CREATE = re.compile(r"CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?`?(\w+)`?\s*\((.*?)\)\s*(?:ENGINE|;|$)", re.I | re.S)
@@ -37,6 +39,22 @@ def dump_date(files: DataFrame, allow_mismatch: bool = False) -> str:
     return dates[0] if len(dates) == 1 else ""
 
 
+def latest_change(files: DataFrame) -> DataFrame:
+    """One row: the time of the last change of any dump; null without dumps."""
+    return files.agg(F.max("modificationTime").alias("modified"))
+
+
+def import_provenance(files: DataFrame, dialect: str, imported: str, allow_mismatch: bool = False) -> DataFrame:
+    """One row on an import: the schema, when it was made, the dumps' common date, and each dump's name, date, time and size by name."""
+    listed = F.sort_array(F.collect_list(F.struct("name", "dump_date", "dump_time", F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("modified"))))
+    return files.agg(F.lit(dialect).alias("dialect"), F.lit(imported).alias("imported"), F.lit(dump_date(files, allow_mismatch)).alias("dump_date"), listed.alias("dumps"))
+
+
+def provenance_sources(provenance: DataFrame) -> DataFrame:
+    """A provenance's dumps as rows (name, dump_date, dump_time, modified): what a cache made from that import depends on."""
+    return provenance.select(F.explode("dumps").alias("d")).select("d.*")
+
+
 def declared_columns(text: str) -> list[str]:
     """The columns of a dump's CREATE TABLE, in order."""
     found = _CREATE.search(text)
@@ -92,13 +110,15 @@ def read_dump(spark: SparkSession, path: str, columns: list[str] | None = None)
     """A dump's rows as text columns.
 
     Lines are read in parallel; a statement is one line, as dump programs write it. Values go by the
-    statement's own column list, else the table's declaration; a tuple with one value more than the
-    table has columns loses its first (an alias table's surrogate key). Other statements are ignored.
+    statement's own column list, else the table's declaration, wherever that stands. In the alias table a
+    tuple with one value more than columns loses its first, a surrogate key; elsewhere another number of
+    values than columns, or a tuple that is cut short, is an error. Other statements are ignored.
     """
     lines = spark.read.text(path)
+    alias = path.rsplit("/", 1)[-1].lower() == ALIAS_DUMP
     if columns is None:
-        head = "\n".join(r[0] for r in lines.where(~F.upper("value").startswith("INSERT")).limit(500).collect())  # the declaration, before any row
-        columns = declared_columns(head)
+        # all of the file but its rows: some dozen lines, which hold the declaration
+        columns = declared_columns("\n".join(r[0] for r in lines.where(~F.upper(F.ltrim("value")).startswith("INSERT")).collect()))
     names = list(columns)
     if not names:
         raise ValueError(f"{path} declares no table")
@@ -111,10 +131,18 @@ def read_dump(spark: SparkSession, path: str, columns: list[str] | None = None)
                     continue
                 own = re.findall(r"\w+", found.group(2)) if found.group(2) else names
                 rows = []
-                for values in parse_tuples(line, found.end()):
-                    values = values[len(values) - len(own):] if len(values) > len(own) else values
-                    row = dict(zip(own, values, strict=True))
-                    rows.append([row.get(c) for c in names])
+                try:
+                    for values in parse_tuples(line, found.end()):
+                        if alias and len(values) == len(own) + 1:
+                            values = values[1:]
+                        if len(values) != len(own):
+                            raise ValueError(f"{len(values)} values for {len(own)} columns")
+                        row = dict(zip(own, values, strict=True))
+                        rows.append([row.get(c) for c in names])
+                except IndexError:
+                    raise ValueError(f"{path}: a statement is cut short: {line[:80]!r}") from None
+                except ValueError as error:
+                    raise ValueError(f"{path}: {error}: {line[:80]!r}") from None
                 yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return lines.where(F.upper(F.ltrim("value")).startswith("INSERT")).mapInPandas(run, ", ".join(f"`{c}` string" for c in names))

@@ -56,3 +56,22 @@ def collection_info(database: str, dump_date: str, template: str = "{database} -
 
 def version_info(dump_date: str) -> str:
     return f"{dump_date}\r\n"
+
+
+def structure_info(fields: str) -> str:
+    """The text that names a layout's fields."""
+    return f"{fields}\r\n"
+
+
+def zip_comment(database: str, dump_date: str) -> str:
+    """What a ZIP says about itself."""
+    return f"{database}_{dump_date}".strip("_")
+
+
+def render_template(template: str, **values: str) -> str:
+    """A user's template of an information member: {name} for each value, unknown names are an error, lines end in CR LF."""
+    try:
+        text = template.format(**values)
+    except (KeyError, IndexError, ValueError) as error:
+        raise ValueError(f"template: {error}") from None
+    return "\r\n".join(text.replace("\r\n", "\n").split("\n"))

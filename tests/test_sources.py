@@ -179,11 +179,20 @@ def test_layouts(spark, tmp_path):
     ignored = spark.createDataFrame([("archive-0001", 4, 4)], "archive string, start long, end long")
     lines = {r["index"]: r for r in exports.positional_export(view, layout, ignored).collect()}
     assert {i: r.is_dummy for i, r in lines.items()} == {0: False, 1: True, 2: False, 3: True}
+    fields = lines[1].line.rstrip("\r\n").split("\x04")
+    assert fields == ["dummy:", "other:", "dummy record", "", "", "", "1", "2", "1", "EXT", "2000-01-01", "en", "0", "", ""]
     fields = lines[0].line.rstrip("\r\n").split("\x04")
     assert fields[:3] == ["неизвестный,автор,:", "other:", "Db one"] and fields[5:10] == ["1", "10", "1", "0", "fb2"] and len(fields) == 15
     assert len(exports.positional_rows(view, exports.Options(extended=True)).where("line is not null").first().line.split("\x04")) == 17
     multi = {r["index"]: r.line.split("\x04") for r in exports.multi_series_export(view, exports.Options(source_library="lib")).collect()}
-    assert set(multi) == {0, 2, 9} and len(multi[0]) == len(exports.MULTI_FIELDS.split(";")) and multi[0][13] == "one:two:three:" and multi[0][14] == "1975" and multi[0][15] == "lib"
+    assert set(multi) == {0, 2} and len(multi[0]) == len(exports.MULTI_FIELDS.split(";")) and multi[0][13] == "one:two:three:" and multi[0][14] == "1975" and multi[0][15] == "lib"
+    alone = exports.multi_series_export(view.where("locator.kind <> 'archive_entry'"), online=True).collect()
+    assert [(r.archive, r["index"]) for r in alone] == [("online", 0)]
+    placed = exports.positional_export(view.where("locator.kind <> 'archive_entry'"), layout.where("false"))
+    assert [(r.archive, r["index"], r.is_dummy) for r in placed.collect()] == [("online", 0, False)]
+    for bad in (view.union(view), view.withColumn("locator", F.col("locator").withField("source", F.when(F.col("locator.kind") == "archive_entry", "ghost").otherwise("database")))):
+        with pytest.raises(Exception, match="two records|undeclared"):
+            exports.positional_export(bad, layout).collect()
     from shelf.functions.text import register_functions
 
     register_functions(spark)
