@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -32,3 +34,17 @@ def build_session(app: str = "shelf", cores: int | str = "*", **conf: str) -> Sp
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a scale-factor folder; the folder may be any path that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """A frame that several parts of a plan read, computed once into the folder that spark.checkpoint.dir names.
+
+    Only where that is unset and the master is local, as in tests, a temporary folder is made.
+    """
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="shelf-checkpoint-"))
+    return df.checkpoint(eager=True)

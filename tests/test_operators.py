@@ -181,6 +181,22 @@ def test_compilations_match_a_recursive_walk(spark):
     assert rows(got, "book", "part", "key", "match", "covered") == sorted(want, key=str)
 
 
+def test_section_trees_match_a_stack(spark):
+    rng = random.Random(7)
+    frame, want = [], []
+    for book in range(40):
+        depths = [0]
+        for _ in range(rng.randrange(0, 20)):
+            depths.append(rng.randrange(1, depths[-1] + 2))
+        frame += [(book, i, d) for i, d in enumerate(depths)]
+        for i, d in enumerate(depths):
+            parent = max((k for k in range(i) if depths[k] == d - 1), default=None)
+            want.append((book, i, parent, next((k for k in range(i + 1, len(depths)) if depths[k] <= d), len(depths)) - 1))
+    frame += [(900, 0, 0), (900, 1, 2), (901, 0, 0), (901, 1, 0)]
+    got = fingerprints.section_tree(spark.createDataFrame(frame, "book long, pos long, depth int"))
+    assert rows(got, "book", "pos", "parent", "subtree_end") == sorted(want, key=str)
+
+
 def test_fingerprint_codec():
     import base64
     import hashlib
