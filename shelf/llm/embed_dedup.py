@@ -293,11 +293,10 @@ def crowded_pairs(crowded: DataFrame, *, threshold: float = THRESHOLD, tile: int
 def _tile_links(members: DataFrame, threshold: float, tile: int) -> DataFrame:
     """(cls, links): for each class the rows of other classes of its component that it links with.
 
-    members has component, cls, copies, dim and embedding. A component is dealt into hashed tiles of
+    members has component, n (its classes), cls, copies, dim and embedding. A component is dealt into hashed tiles of
     about `tile` classes, and every pair of tiles is one unit of work of bounded size.
     """
-    sizes = members.groupBy("component").agg(F.count("*").alias("n"))
-    dealt = members.join(sizes, "component").withColumn("tiles", F.ceil(F.col("n") / F.lit(tile)).cast("int"))
+    dealt = members.withColumn("tiles", F.ceil(F.col("n") / F.lit(tile)).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("component", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "cls", "copies", "dim", "embedding")
@@ -343,7 +342,7 @@ def near_vectors(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
         edges = edges.union(crowded_pairs(crowded, threshold=threshold, tile=tile))
     components = cut(connected_components(edges).select(F.col("node").alias("cls"), "component"))
     marked = components.join(crowded.select("cls", F.lit(True).alias("beyond")), "cls", "left")
-    dense = marked.groupBy("component").agg(F.count("*").alias("n"), F.max("beyond").alias("beyond")).where((F.col("n") > window) | F.col("beyond")).select("component")
+    dense = marked.groupBy("component").agg(F.count("*").alias("n"), F.max("beyond").alias("beyond")).where((F.col("n") > window) | F.col("beyond")).select("component", "n")
     copies = classes.select(F.col("cls").alias("dst"), "copies")
     both = pairs.where("dst is not null").select(F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))).alias("p")).select("p.*").distinct()
     seen = both.join(copies, "dst").groupBy(F.col("src").alias("cls")).agg(F.sum("copies").alias("seen"))
