@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelf.functions import text as tx
 from shelf.functions import values as vl
 from shelf.operators import authors, claims, exports, facets, fingerprints, inspection, language, matching, ranges, rollup, series, validate
-from shelf.session import table
+from shelf.session import materialised, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -304,7 +304,7 @@ def section_rollup(spark: SparkSession, sf: str) -> DataFrame:
     own = fingerprints.section_words(lines, ["doc_id", "line"], "t")
     ancestors = lines.select("doc_id", "line", F.explode(F.array(F.col("line"), F.lit(0))).alias("ancestor"))
     rolled = fingerprints.roll_up(own, ancestors, "doc_id", "line")
-    return fingerprints.section_digests(rolled, rolled, ["doc_id", "line"])
+    return fingerprints.section_digests(rolled, None, ["doc_id", "line"])
 
 
 _BOOK_SQL = f"""{_LINES_SQL}, {_WORDS_SQL}, {_DIGEST_SQL.format(k='doc_id, line', h='words')},
@@ -312,11 +312,10 @@ whole AS (SELECT doc_id, word, sum(n)::BIGINT AS n FROM words GROUP BY ALL)"""
 
 
 def _digested(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Lines and documents with their digests."""
-    lines = _lines(spark, sf)
-    own = fingerprints.section_words(lines, ["doc_id", "line"], "t")
-    whole = own.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
-    return fingerprints.section_digests(own, own, ["doc_id", "line"]), fingerprints.section_digests(whole, whole, ["doc_id"])
+    """Lines and, as line 0, documents with their digests: every word is counted for both at once."""
+    lines = _lines(spark, sf).withColumn("line", F.explode(F.array("line", F.lit(0))))
+    digests = materialised(fingerprints.section_digests(fingerprints.section_words(lines, ["doc_id", "line"], "t"), None, ["doc_id", "line"]))
+    return digests.where("line > 0"), digests.where("line = 0").drop("line")
 
 
 @query(f"""WITH {_BOOK_SQL} SELECT {_text64('hex')} AS digest, count(DISTINCT doc_id) AS books, count(*) AS sections FROM digests GROUP BY hex HAVING count(DISTINCT doc_id) > 1""")
@@ -333,15 +332,15 @@ own AS (SELECT d.doc_id, d.line, d.hex FROM digests d JOIN bodies o ON o.doc_id
 hits AS (SELECT doc_id, line, hex FROM own WHERE hex IN (SELECT hex FROM roots)),
 firsts AS (SELECT doc_id, hex, min(line) AS line FROM hits GROUP BY ALL),
 parts AS (SELECT h.doc_id, h.line, h.hex, (SELECT count(*) FROM firsts f WHERE f.doc_id = h.doc_id AND f.line < h.line) AS part FROM hits h)
-SELECT p.doc_id AS book, part::INT AS part, {_text64('p.hex')} AS key, match, NOT EXISTS (SELECT 1 FROM own o WHERE o.doc_id = p.doc_id AND o.hex NOT IN (SELECT hex FROM roots)) AS covered
-FROM parts p JOIN roots r ON r.hex = p.hex WHERE (SELECT count(*) FROM firsts f WHERE f.doc_id = p.doc_id) > 1""")
+SELECT p.doc_id AS book, part::INT AS part, {_text64('p.hex')} AS key, r.match, r.matches, NOT EXISTS (SELECT 1 FROM own o WHERE o.doc_id = p.doc_id AND o.hex NOT IN (SELECT hex FROM roots)) AS covered
+FROM parts p JOIN (SELECT hex, min(match) AS match, count(*) AS matches FROM roots GROUP BY hex) r ON r.hex = p.hex WHERE (SELECT count(*) FROM firsts f WHERE f.doc_id = p.doc_id) > 1""")
 def compilations(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents that hold the opening lines of others: each opening line is taken for a book of its own."""
+    """Documents that hold the opening lines of others: each opening line is a book of its own; a class per line, with its number of documents and the least."""
     own, whole = _digested(spark, sf)
     leaves = own.select(F.col("doc_id").alias("book"), F.col("line").cast("long").alias("pos"), F.lit(1).alias("depth"), F.col("digest").alias("key"), F.lit(True).alias("leaf"))
     heads = whole.select(F.col("doc_id").alias("book"), F.lit(0).cast("long").alias("pos"), F.lit(0).alias("depth"), F.col("digest").alias("key"), F.lit(False).alias("leaf"))
     openings = own.where("line = 1").select(F.col("digest").alias("key"), F.col("doc_id").alias("match"))
-    return fingerprints.compilation_parts(leaves.union(heads), openings)
+    return fingerprints.compilation_classes(leaves.union(heads), openings)
 
 
 @query(f"""WITH {_BOOK_SQL}, wr AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY least(8, length(word)) DESC, n DESC, word DESC) AS r FROM whole),
@@ -350,14 +349,14 @@ own AS (SELECT d.doc_id, d.line, d.hex FROM digests d JOIN roots o ON o.match =
 hits AS (SELECT doc_id, line, hex FROM own WHERE hex IN (SELECT hex FROM roots)),
 firsts AS (SELECT doc_id, hex, min(line) AS line FROM hits GROUP BY ALL),
 parts AS (SELECT h.doc_id, h.line, h.hex, (SELECT count(*) FROM firsts f WHERE f.doc_id = h.doc_id AND f.line < h.line) AS part FROM hits h)
-SELECT p.doc_id AS book, part::INT AS part, {_text64('p.hex')} AS key, match, NOT EXISTS (SELECT 1 FROM own o WHERE o.doc_id = p.doc_id AND o.hex NOT IN (SELECT hex FROM roots)) AS covered
-FROM parts p JOIN roots r ON r.hex = p.hex WHERE (SELECT count(*) FROM firsts f WHERE f.doc_id = p.doc_id) > 1""")
+SELECT p.doc_id AS book, part::INT AS part, {_text64('p.hex')} AS key, r.match, r.matches, NOT EXISTS (SELECT 1 FROM own o WHERE o.doc_id = p.doc_id AND o.hex NOT IN (SELECT hex FROM roots)) AS covered
+FROM parts p JOIN (SELECT hex, min(match) AS match, count(*) AS matches FROM roots GROUP BY hex) r ON r.hex = p.hex WHERE (SELECT count(*) FROM firsts f WHERE f.doc_id = p.doc_id) > 1""")
 def body_compilations(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents made of other documents: lines whose digest is another document's."""
+    """Documents made of other documents: lines whose digest is another document's, a class of equal ones with their number and the least."""
     own, whole = _digested(spark, sf)
     leaves = own.select(F.col("doc_id").alias("book"), F.col("line").cast("long").alias("pos"), F.lit(1).alias("depth"), F.col("digest").alias("key"), F.lit(True).alias("leaf"))
     heads = whole.select(F.col("doc_id").alias("book"), F.lit(0).cast("long").alias("pos"), F.lit(0).alias("depth"), F.col("digest").alias("key"), F.lit(False).alias("leaf"))
-    return fingerprints.compilation_parts(leaves.union(heads), whole.select(F.col("digest").alias("key"), F.col("doc_id").alias("match")))
+    return fingerprints.compilation_classes(leaves.union(heads), whole.select(F.col("digest").alias("key"), F.col("doc_id").alias("match")))
 
 
 # --- text, values, languages ------------------------------------------------------------------
@@ -480,19 +479,20 @@ _RECORD_SQL = """rec AS (SELECT *, o_orderkey % 3 <> 0 AS db, o_orderkey % 5 <>
 
 
 @query(f"""WITH {_RECORD_SQL} SELECT o_orderkey::VARCHAR AS book_id, db AS has_db, fb2 AS has_fb2, db_title, fb2_title, CASE WHEN db THEN 'ru' ELSE '' END AS db_language, CASE WHEN fb2 THEN 'en' ELSE '' END AS fb2_language,
-    CASE WHEN db AND o_orderkey % 7 > 0 THEN (o_orderkey % 7)::VARCHAR WHEN o_orderkey % 7 > 0 THEN (o_orderkey % 7)::VARCHAR ELSE '' END AS replaced_by, trunc(o_totalprice)::BIGINT AS size FROM rec WHERE o_orderkey > 0""")
+    CASE WHEN db AND o_orderkey % 7 > 0 THEN (o_orderkey % 7)::VARCHAR ELSE '' END AS replaced_by, CASE WHEN db THEN trunc(o_totalprice)::BIGINT ELSE 1 END AS size,
+    CASE WHEN db THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') ELSE '' END AS time, CASE WHEN db THEN o_orderstatus ELSE '' END AS md5, db::INT + 0 AS checksums FROM rec WHERE o_orderkey > 0""")
 def claims_view(spark: SparkSession, sf: str) -> DataFrame:
     """Records to claims and back to a flat view."""
     view = claims.flat_view(claims.dataset_rows(_records(spark, sf).where("book_id > 0")))
-    return view.select("book_id", "has_db", "has_fb2", "db_title", "fb2_title", "db_language", "fb2_language", "replaced_by", "size")
+    return view.select("book_id", "has_db", "has_fb2", "db_title", "fb2_title", "db_language", "fb2_language", "replaced_by", "size", "time", "md5", F.size("artifact.checksums").alias("checksums"))
 
 
 _SEP = "chr(4)"
 
 
 @query(f"""WITH {_RECORD_SQL}, b AS (SELECT *, CASE WHEN db_title <> '' THEN db_title ELSE fb2_title END AS title FROM rec WHERE o_orderkey > 0), s AS (SELECT *, CASE WHEN db OR true THEN o_orderpriority END AS series FROM b WHERE title <> '')
-SELECT 'archive-' || o_orderkey % 4 AS archive, o_orderkey // 4 AS index, 0 AS book_row, concat_ws({_SEP}, 'a,b,:', 'other:', title, series, '7', o_orderkey::VARCHAR, trunc(o_totalprice)::BIGINT::VARCHAR, o_orderkey::VARCHAR,
-    CASE WHEN db THEN '0' ELSE '' END, 'fb2', CASE WHEN true THEN strftime(o_orderdate, '%Y-%m-%d') END, CASE WHEN db THEN 'ru' ELSE CASE WHEN fb2 THEN 'en' ELSE '' END END, '', '', '', 'lib') || {_SEP} || chr(13) || chr(10) AS line FROM s""")
+SELECT 'archive-' || o_orderkey % 4 AS archive, o_orderkey // 4 AS index, 0 AS book_row, concat_ws({_SEP}, 'a,b,:', 'other:', title, series, '7', o_orderkey::VARCHAR, CASE WHEN db THEN trunc(o_totalprice)::BIGINT::VARCHAR ELSE '1' END, o_orderkey::VARCHAR,
+    CASE WHEN db THEN '0' ELSE '' END, 'fb2', CASE WHEN db THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END, CASE WHEN db THEN 'ru' ELSE CASE WHEN fb2 THEN 'en' ELSE '' END END, '', '', '', 'lib') || {_SEP} || chr(13) || chr(10) AS line FROM s""")
 def multi_series_export(spark: SparkSession, sf: str) -> DataFrame:
     """The layout with a row per series."""
     view = claims.flat_view(claims.dataset_rows(_records(spark, sf).where("book_id > 0").withColumn("deleted", F.when(F.col("db_present"), F.col("deleted")))))
@@ -502,23 +502,32 @@ def multi_series_export(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {_RECORD_SQL}, b AS (SELECT *, CASE WHEN db_title <> '' THEN db_title ELSE fb2_title END AS title, 'archive-' || o_orderkey % 4 AS archive, o_orderkey // 4 AS index FROM rec WHERE o_orderkey > 0),
 n AS (SELECT *, dense_rank() OVER (ORDER BY archive, index) AS input_record FROM b WHERE title <> ''), a AS (SELECT * FROM n WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))
 SELECT printf('%010d-%010d', ((o_orderkey - 1) // 1000) * 1000 + 1, ((o_orderkey - 1) // 1000 + 1) * 1000) || '.inp' AS member, archive, index, input_record, row_number() OVER (ORDER BY archive, index) AS accepted_row,
-    dense_rank() OVER (ORDER BY archive, index) AS accepted_book, o_orderpriority AS series_name FROM a""")
+    dense_rank() OVER (ORDER BY archive, index) AS accepted_book, concat_ws(chr(4), 'a,b,:', 'other:', title, o_orderpriority, '2', o_orderkey::VARCHAR, CASE WHEN db THEN trunc(o_totalprice)::BIGINT::VARCHAR ELSE '1' END, o_orderkey::VARCHAR,
+    CASE WHEN db THEN '0' ELSE '' END, 'fb2', CASE WHEN db THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END, (index + 1)::VARCHAR, archive, CASE WHEN db THEN 'ru' WHEN fb2 THEN 'en' ELSE '' END, '', '', '') || chr(4) || chr(13) || chr(10) AS line FROM a""")
 def slice_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """A user's filter and partition key, as SQL over a row's columns."""
+    """A user's filter and partition key, as SQL over a row's columns; a number of 2.5 in a series shows as 2."""
     tx.register_functions(spark)
-    view = claims.flat_view(claims.dataset_rows(_records(spark, sf).where("book_id > 0")))
+    numbered = _records(spark, sf).where("book_id > 0").withColumn("series", F.transform("series", lambda s: s.withField("number", F.when(s["number"] == "7", "2.5").otherwise(s["number"]))))
+    view = claims.flat_view(claims.dataset_rows(numbered))
     rows = exports.slice_export(view, "one_of(series_name, array('1-URGENT', '2-HIGH'))", "range_name(lib_id, 1000, 'other')")
-    return rows.select("member", "archive", "index", "input_record", "accepted_row", "accepted_book", F.split("line", "\x04")[3].alias("series_name"))
+    return rows.select("member", "archive", "index", "input_record", "accepted_row", "accepted_book", "line")
 
 
-@query(f"""WITH {_RECORD_SQL}, r AS (SELECT *, 'archive-' || o_orderkey % 4 AS archive, o_orderkey // 4 AS index FROM rec WHERE o_orderkey % 11 <> 0 AND o_orderkey > 0), s AS (SELECT 'archive-' || k AS archive, (SELECT max(o_orderkey) // 4 + 1 FROM orders) AS entries FROM range(4) AS x(k)),
-p AS (SELECT archive, i AS index FROM s, range(s.entries) AS y(i)) SELECT p.archive, p.index, r.o_orderkey IS NULL OR NOT (db OR fb2) AS is_dummy FROM p LEFT JOIN r USING (archive, index)""")
+@query(f"""WITH {_RECORD_SQL}, r AS (SELECT *, 'archive-' || o_orderkey % 4 AS archive, o_orderkey // 4 AS index, CASE WHEN db_title <> '' THEN db_title ELSE fb2_title END AS title FROM rec WHERE o_orderkey % 11 <> 0 AND o_orderkey > 0),
+s AS (SELECT 'archive-' || k AS archive, (SELECT max(o_orderkey) // 4 + 1 FROM orders) AS entries FROM range(4) AS x(k)),
+p AS (SELECT archive, i AS index FROM s, range(s.entries) AS y(i) WHERE i NOT BETWEEN 5 AND 9)
+SELECT p.archive, p.index, r.o_orderkey IS NULL OR NOT (db OR fb2) AS is_dummy, CASE WHEN r.o_orderkey IS NULL OR NOT (db OR fb2)
+    THEN concat_ws({_SEP}, 'dummy:', 'other:', 'dummy record', '', '', '', '1', (p.index + 1)::VARCHAR, '1', 'EXT', '2000-01-01', 'en', '0', '')
+    ELSE concat_ws({_SEP}, 'a,b,:', 'other:', title, o_orderpriority, '7', o_orderkey::VARCHAR, CASE WHEN db THEN trunc(o_totalprice)::BIGINT::VARCHAR ELSE '1' END, o_orderkey::VARCHAR, CASE WHEN db THEN '0' ELSE '' END, 'fb2',
+        CASE WHEN db THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END, CASE WHEN db THEN 'ru' WHEN fb2 THEN 'en' ELSE '' END, '', '') END || {_SEP} || chr(13) || chr(10) AS line
+FROM p LEFT JOIN r USING (archive, index)""")
 def positional_export(spark: SparkSession, sf: str) -> DataFrame:
-    """The layout with a row for every position, dummies included."""
+    """The layout with a line for every position that is not ignored, dummies included."""
     records = _records(spark, sf).where("book_id % 11 <> 0 and book_id > 0")
-    entries = table(spark, sf, "orders").agg((F.floor(F.max("o_orderkey") / 4) + 1).cast("long").alias("entries"))
-    archives = spark.createDataFrame([(f"archive-{i}",) for i in range(4)], "id string").join(entries, F.lit(True))
-    return exports.positional_export(claims.flat_view(claims.dataset_rows(records)), archives).select("archive", "index", "is_dummy")
+    names = spark.range(4).select(F.concat(F.lit("archive-"), F.col("id").cast("string")).alias("id"))
+    archives = table(spark, sf, "orders").agg((F.floor(F.max("o_orderkey") / 4) + 1).cast("long").alias("entries")).select(F.explode(F.array(*[F.lit(f"archive-{i}") for i in range(4)])).alias("id"), "entries")
+    ignored = names.select(F.col("id").alias("archive"), F.lit(5).cast("long").alias("start"), F.lit(9).cast("long").alias("end"))
+    return exports.positional_export(claims.flat_view(claims.dataset_rows(records)), archives, ignored)
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 48)")
@@ -592,11 +601,11 @@ def new_ranges(spark: SparkSession, sf: str) -> DataFrame:
     return rollup.new_ranges(names, r"fb2-(\d+)-(\d+)\.zip", 1200)
 
 
-@query("""SELECT arg_max(p_name, {'a': p_size, 'b': p_partkey}) IS NOT NULL AS found, max(p_size)::BIGINT AS "end" FROM part""")
+@query("""SELECT 'f.' || arg_max(p_partkey, {'a': p_size, 'b': p_partkey}) || '-' || max(p_size) || '.zip' AS name, arg_max(p_partkey, {'a': p_size, 'b': p_partkey})::BIGINT AS begin, max(p_size)::BIGINT AS "end" FROM part""")
 def high_water(spark: SparkSession, sf: str) -> DataFrame:
     """The last archive that is here, by the end of its range."""
     names = table(spark, sf, "part").select(F.concat(F.lit("f."), F.col("p_partkey").cast("string"), F.lit("-"), F.col("p_size").cast("string"), F.lit(".zip")).alias("name"))
-    return rollup.high_water(names, "name", r"f\.(\d+)-(\d+)\.zip").select(F.col("name").isNotNull().alias("found"), "end")
+    return rollup.high_water(names, "name", r"f\.(\d+)-(\d+)\.zip")
 
 
 @query("""SELECT DISTINCT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages""")
