@@ -198,7 +198,7 @@ def write_compilations(dataset: datasets.Dataset, path: str) -> int:
     if "fb2_sections" not in rows.columns:
         return 0
     named = rows.withColumn("book", F.concat_ws("\x00", "locator.source", F.col("locator.index").cast("string")))
-    sections = named.select("book", F.explode("fb2_sections").alias("s")).select("book", F.col("s.pos").alias("pos"), "s.depth", "s.key", "s.leaf")
+    sections = named.select("book", F.posexplode("fb2_sections").alias("pos", "s")).select("book", F.col("pos").cast("long").alias("pos"), "s.depth", "s.key", "s.leaf")
     roots = sections.where("depth = 0").select("key", F.col("book").alias("match"))
     books = named.select("book", F.col("locator.source").alias("folder"), F.col("artifact.name").alias("file"))
     found = exports.compilations_json(fingerprints.compilation_parts(sections, roots), books)

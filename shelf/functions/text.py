@@ -156,8 +156,8 @@ def path_label(path: Column) -> Column:
 
 
 def base64url(binary: Column) -> Column:
-    """Base64 for file names and URLs, without padding."""
-    return F.rtrim(F.translate(F.base64(binary), "+/", "-_"), F.lit("="))
+    """Base64 for file names and URLs, without padding or line ends."""
+    return F.rtrim(F.translate(F.base64(binary), "+/\r\n", "-_"), F.lit("="))
 
 
 def body_words(text: Column) -> Column:

@@ -58,7 +58,7 @@ def dataset_rows(records: DataFrame) -> DataFrame:
     col = lambda c, t="string": F.col(c).cast(t) if c in have else F.lit(None).cast(t)
     db, fb2 = F.coalesce(col("db_present", "boolean"), F.lit(False)), F.coalesce(col("fb2_present", "boolean"), F.lit(False))
     filed = col("archive").isNotNull()
-    beyond_title = [c for c in ("fb2_document_id", "fb2_book_name", "fb2_publisher", "fb2_city", "fb2_isbn", "fb2_year", "fb2_src_title") if c in have]
+    beyond_title = [c for c in ("fb2_document_id", "fb2_book_name", "fb2_publisher", "fb2_city", "fb2_isbn", "fb2_year", "fb2_original_title") if c in have]
     whole = F.lit(False)
     for c in beyond_title:
         whole = whole | F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False))
@@ -105,7 +105,7 @@ def dataset_rows(records: DataFrame) -> DataFrame:
     for c in PLACED:
         if c in have and "position" not in records.schema[c].dataType.elementType.names:
             records = records.withColumn(c, F.transform(c, lambda x, i: x.withField("position", (i + 1).cast("long"))))
-    facets = [c for c in ("authors", "translators", "illustrators", "genres", "series", "filenames", "joined_books", "fb2_authors", "fb2_translators", "fb2_genres", "fb2_series", "fb2_publication_series", "match") if c in have]
+    facets = [c for c in ("authors", "translators", "illustrators", "genres", "series", "filenames", "joined_books", "fb2_authors", "fb2_translators", "fb2_genres", "fb2_series", "fb2_publication_series", "fb2_sections", "fb2_output", "match") if c in have]
     return records.select(*[v.alias(k) for k, v in out.items()], *facets)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,15 +37,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """A frame that several parts of a plan read, computed once into the folder that spark.checkpoint.dir names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which all executors share.
 
     Only where that is unset and the master is local, as in tests, a temporary folder is made.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="shelf-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A path in the shared folder that nothing has yet."""
+    return f"{shared_folder(spark)}/shelf-{kind}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """A frame that several parts of a plan read, computed once into the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
