@@ -1,42 +1,41 @@
-"""Exact Jaccard similarity of sets of word shingles, for pairs and groups that a search proposes.
+"""Jaccard similarity of sets of word shingles, for pairs and groups that a search proposes.
 
-Sets are distributed tables of sorted hashes. Pairs are verified in three steps, so that a group of n
-similar texts costs about n comparisons: each text with the least it may be near to, then what is still
-in different groups. Crowded buckets, whose pairs are never listed, go through their first member and
-tiles.
+Sets are distributed tables of sorted 32-bit hashes. Pairs are verified in rounds, so that a group of n
+similar texts costs about n comparisons and not all its pairs: each text with the least that it may be
+near to, then with the least of another group, and at last all that is still in different groups.
+Crowded buckets, whose pairs are never listed, take part through one member a round.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelf.llm.common import cut
 from shelf.llm.components import connected_components
-from shelf.llm.embed_dedup import _groups
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Members per tile of a crowded bucket.
-TILE = 256
+#: Texts that one task compares with a hot one, and rounds of one comparison a text before all of the rest.
+SHARE, ROUNDS = 512, 2
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct XXH64 (seed 42) of a text's word shingles; a shorter text is one shingle, a wordless one has none."""
+    """The sorted distinct low halves of the XXH64 (seed 42) of a text's word shingles; a shorter text is one shingle, a wordless one has none."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint32)
     joined = b" ".join(found)
     lengths = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     size = min(size, len(found))
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(found) - size + 1].tolist(), ends[size - 1:].tolist(), strict=True)], np.uint64))
+    return np.unique(np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(found) - size + 1].tolist(), ends[size - 1:].tolist(), strict=True)], np.uint64).astype(np.uint32))
 
 
 def least_size(least: float) -> int:
@@ -57,68 +56,73 @@ def _near(a: np.ndarray, b: np.ndarray, least: float) -> bool:
 
 
 def _set(value: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(value.as_py(), np.uint64)
+    return np.frombuffer(value.as_py(), np.uint32)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (src, dst) whose sets (cls, found) are near."""
-    joined = (pairs.join(sets.select(F.col("cls").alias("src"), F.col("found").alias("a")), "src")
-              .join(sets.select(F.col("cls").alias("dst"), F.col("found").alias("b")), "dst").select("src", "dst", "a", "b"))
+    """Those of the distinct pairs (src, dst) whose sets (cls, found) are near.
+
+    The set of every dst goes to that of its src once. Where many share one src, it is dealt to as many tasks as they need.
+    """
+    counts = pairs.groupBy("src").agg(F.ceil(F.count("*") / F.lit(SHARE)).cast("int").alias("parts"))
+    centres = counts.select("src", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(sets, F.col("src") == F.col("cls")).select("src", "part", F.col("src").alias("dst"), "found")
+    placed = pairs.join(counts, "src").select("src", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"), "dst")
+    members = placed.join(sets, F.col("dst") == F.col("cls")).select("src", "part", "dst", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, centre = None, None
         for batch in batches:
-            hit = [_near(_set(a), _set(b), least) for a, b in zip(batch.column("a"), batch.column("b"), strict=True)]
-            yield batch.select(["src", "dst"]).filter(pa.array(hit, pa.bool_()))
+            src, part, dst, hit = batch.column("src").to_pylist(), batch.column("part").to_pylist(), batch.column("dst").to_pylist(), []
+            for i, found in enumerate(batch.column("found")):
+                if src[i] == dst[i]:
+                    held, centre = (src[i], part[i]), _set(found)
+                elif held == (src[i], part[i]) and _near(centre, _set(found), least):
+                    hit.append(i)
+            yield batch.select(["src", "dst"]).take(pa.array(hit, pa.int64()))
 
-    return joined.mapInArrow(run, "src long, dst long")
+    rows = centres.union(members).withColumn("other", F.col("src") != F.col("dst"))
+    return rows.repartition("src", "part").sortWithinPartitions("src", "part", "other").drop("other").mapInArrow(run, "src long, dst long")
 
 
-def _tile_links(members: DataFrame, sets: DataFrame, least: float, tile: int) -> DataFrame:
-    """(src, dst): links that join the different groups in a bucket; members has key, cls and component.
-
-    A pair is compared unless links found before join it. A bucket is dealt into hashed tiles, and
-    every pair of tiles is one unit of work.
-    """
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    dealt = members.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / F.lit(tile)).cast("int"))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("key", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "cls", "component").join(sets, "cls")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, ["key", "a", "b"]):
-            a, b, mine = table.column("a")[0].as_py(), table.column("b")[0].as_py(), table.column("mine").to_numpy()
-            cls, group = table.column("cls").to_numpy(), table.column("component").to_numpy().copy()
-            found = [_set(x) for x in table.column("found")]
-            src, dst = [], []
-            for i in np.flatnonzero(mine == a):
-                for j in np.flatnonzero(mine == b):
-                    if group[i] != group[j] and (a != b or i < j) and _near(found[i], found[j], least):
-                        src.append(cls[i])
-                        dst.append(cls[j])
-                        group[group == group[j]] = group[i]
-            yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
-
-    keys = ["key", "a", "b"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long")
-
-
-def groups_of(pairs: DataFrame, crowded: DataFrame, sets: DataFrame, *, least: float = SIMILARITY, tile: int = TILE) -> DataFrame:
+def groups_of(pairs: DataFrame, crowded: DataFrame, sets: DataFrame, apart: Callable[[Column, Column], Column], *, least: float = SIMILARITY) -> DataFrame:
     """(node, component): the classes that links join, given what a search proposes.
 
-    pairs has distinct (src, dst), src < dst; crowded has (key, cls), buckets in which every two members
-    may be near; sets has (cls, found) of all of these. A pair is compared unless links found before
-    join its ends, so nothing is lost, and a group of similar texts costs few comparisons.
+    pairs has distinct (src, dst); crowded has (key, cls, check), buckets in which any two members may be
+    near if apart(check, check) says so; sets has (cls, found) of all of these. A pair is compared unless
+    links found before join its ends, so nothing is lost, and a group of similar texts costs few comparisons.
     """
-    first = crowded.groupBy("key").agg(F.min("cls").alias("src"))
-    stars = crowded.join(first, "key").where("cls <> src").select("src", F.col("cls").alias("dst"))
-    stars = stars.union(pairs.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst")).distinct()
-    links = cut(_verified(stars, sets, least))
-    groups = cut(connected_components(links))
+    session, kind = pairs.sparkSession, "node long, component long"
+    groups, links, tried = session.createDataFrame([], kind), session.createDataFrame([], "src long, dst long"), session.createDataFrame([], "src long, dst long")
     named = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-    rest = pairs.join(named("src"), "src", "left").join(named("dst"), "dst", "left").where(F.coalesce("of_src", "src") != F.coalesce("of_dst", "dst")).select("src", "dst")
-    more = _verified(rest.join(stars, ["src", "dst"], "left_anti"), sets, least)
-    grouped = crowded.join(groups, crowded.cls == groups.node, "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
-    mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    more = cut(more.union(_tile_links(grouped.join(mixed, "key"), sets, least, tile)))
-    return groups if more.isEmpty() else connected_components(links.union(more))
+
+    def placed() -> DataFrame:
+        """Crowded members with their component."""
+        return crowded.join(groups, crowded.cls == groups.node, "left").select("key", "cls", "check", F.coalesce("component", "cls").alias("component"))
+
+    def across() -> DataFrame:
+        """Pairs whose ends no link joins yet."""
+        return pairs.join(named("src"), "src", "left").join(named("dst"), "dst", "left").where(F.coalesce("of_src", "src") != F.coalesce("of_dst", "dst")).select("src", "dst")
+
+    def met(some: DataFrame, others: DataFrame) -> DataFrame:
+        """Members of buckets with members of others' components, where their checks are near."""
+        left = some.select("key", F.col("cls").alias("a"), F.col("check").alias("check_a"), F.col("component").alias("of_a"))
+        joined = others.join(left, "key").where((F.col("component") != F.col("of_a")) & (F.col("cls") != F.col("a")) & apart(F.col("check"), F.col("check_a")))
+        return joined.select(F.least("a", "cls").alias("src"), F.greatest("a", "cls").alias("dst"))
+
+    for last in [False] * ROUNDS + [True]:
+        members = placed()
+        lead = members.groupBy("key").agg(F.min("component").alias("lead"), F.max("component").alias("other")).where("lead <> other").select("key", "lead")
+        mixed = members.join(lead, "key")
+        beside = mixed.where("component <> lead")
+        some = beside if last else beside.groupBy("key").agg(F.min(F.struct("cls", "check", "component")).alias("m")).select("key", "m.*")
+        cold = across()
+        asked = cold if last else cold.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst")
+        asked = cut(asked.union(met(some, mixed.drop("lead"))).distinct().join(tried, ["src", "dst"], "left_anti"))
+        if asked.isEmpty():
+            break
+        found = cut(_verified(asked, sets, least))
+        tried = tried.union(asked)
+        if not found.isEmpty():
+            links = links.union(found)
+            groups = cut(connected_components(links))
+    return groups

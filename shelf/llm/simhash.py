@@ -34,6 +34,8 @@ SUMS, FLIPS, CHECK_BITS, SEED = 4096, 3, 20, 17
 MISSED, SLACK = 0.002, 0.01
 #: A segment's value that more fingerprints than this share is a crowded bucket.
 HOT_SEGMENT = 64
+#: Up to this many crowded buckets (8 bytes each) are broadcast.
+SMALL_BUCKETS = 1 << 20
 #: A half that more fingerprints than this share is looked up by finer keys too.
 HOT_HALF = 2048
 
@@ -140,8 +142,9 @@ def wide_sums(sets: list[np.ndarray]) -> np.ndarray:
     side = int(math.sqrt(SUMS))
     counts = np.zeros((len(sets), SUMS), np.float32)
     for i, x in enumerate(sets):
-        signs = 1 - 2 * ((x >> np.uint64(40)) & np.uint64(1)).astype(np.float32)
-        counts[i] = np.bincount((x & np.uint64(SUMS - 1)).astype(np.int64), signs, SUMS)
+        mixed = x * np.uint32(0x9E3779B1)
+        signs = 1 - 2 * (mixed >> np.uint32(31)).astype(np.float32)
+        counts[i] = np.bincount((x & np.uint32(SUMS - 1)).astype(np.int64), signs, SUMS)
     h = _hadamard(side)
     return (h @ counts.reshape(-1, side, side) @ h).reshape(len(sets), SUMS)
 
@@ -187,7 +190,7 @@ def _sketcher(bits: int, segments: int) -> Callable[[list[np.ndarray]], tuple[np
 
 
 def wide_fingerprints(texts: DataFrame, shingle: int, least: float, bits: int, segments: int) -> DataFrame:
-    """(doc_id, name, check, segments) of rows of doc_id and text: name hashes the whole set of shingles; sets too small to have a near one have no segments."""
+    """(doc_id, name, check, segments, found) of rows of doc_id and text: found is the set of shingles, name its hash; sets too small to have a near one have no segments."""
 
     def make():
         sketch = _sketcher(bits, segments)
@@ -196,16 +199,16 @@ def wide_fingerprints(texts: DataFrame, shingle: int, least: float, bits: int, s
             sets = [jaccard.shingles(t, shingle) for t in batch]
             names = [int(np.uint64(xxhash.xxh64_intdigest(x.tobytes(), SEED)).astype(np.int64)) for x in sets]
             searched = [i for i, x in enumerate(sets) if len(x) >= jaccard.least_size(least)]
-            rows = [(name, 0, []) for name in names]
+            rows = [(name, 0, [], b"") for name in names]
             if searched:
                 checks, values = sketch([sets[i] for i in searched])
                 for i, c, v in zip(searched, checks.tolist(), values.tolist(), strict=True):
-                    rows[i] = (names[i], c, v)
+                    rows[i] = (names[i], c, v, sets[i].tobytes())
             return rows
 
         return run
 
-    return map_rows(texts, ["doc_id"], {"name": "long", "check": "long", "segments": "array<long>"}, make, 64)
+    return map_rows(texts, ["doc_id"], {"name": "long", "check": "long", "segments": "array<long>", "found": "binary"}, make, 64)
 
 
 def _segment(packed: Column) -> Column:
@@ -223,7 +226,7 @@ def _ball(packed: Column) -> Column:
 
 
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = jaccard.SHINGLE, least: float = jaccard.SIMILARITY,
-                      hot: int = HOT_SEGMENT, tile: int = jaccard.TILE) -> DataFrame:
+                      hot: int = HOT_SEGMENT) -> DataFrame:
     """(doc_id, component_id): the group of every row with an id, linked by the Jaccard similarity of word shingles, named by its smallest id.
 
     Links are verified on whole sets, so none is false; two texts of one size at exactly the least
@@ -240,24 +243,17 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entries = classes.select("cls", "check", F.explode("segments").alias("packed"))
     table = entries.select(F.col("cls").alias("met"), F.col("check").alias("met_check"), _segment(F.col("packed")).alias("key"))
     probes = entries.select("cls", "check", F.explode(_ball(F.col("packed"))).alias("key"))
+    apart = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= CHECK_BITS
     buckets = cut(table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
-    near = (F.col("cls") != F.col("met")) & (F.bit_count(F.col("check").bitwiseXOR(F.col("met_check"))) <= CHECK_BITS)
-    cold = table if buckets.isEmpty() else table.join(buckets, "key", "left_anti")
-    pairs = cut(probes.join(cold, "key").where(near).select(F.least("cls", "met").alias("src"), F.greatest("cls", "met").alias("dst")).distinct())
-    crowded = cut(probes.join(buckets, "key").select("key", "cls").distinct())
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("cls")).union(crowded.select("cls")).distinct()
-    wanted = wanted.join(classes, "cls").select("cls", F.col("first_id").alias("doc_id"), "name")
-
-    def whole():
-        def one(text):
-            found = jaccard.shingles(text, shingle)
-            return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).astype(np.int64)), found.tobytes()
-
-        return one
-
-    sets = map_rows(texts.join(wanted.select("doc_id").distinct(), "doc_id"), ["doc_id"], {"name": "long", "found": "binary"}, whole)
-    sets = cut(sets.join(wanted.select("cls", "name"), "name").select("cls", "found").dropDuplicates(["cls"]))
-    groups = jaccard.groups_of(pairs, crowded, sets, least=least, tile=tile)
+    some = buckets.count()
+    buckets = F.broadcast(buckets) if some <= SMALL_BUCKETS else buckets
+    cold = table.join(buckets, "key", "left_anti") if some else table
+    pairs = probes.join(cold, "key").where((F.col("cls") != F.col("met")) & apart(F.col("check"), F.col("met_check")))
+    pairs = cut(pairs.select(F.least("cls", "met").alias("src"), F.greatest("cls", "met").alias("dst")).distinct())
+    crowded = cut(probes.join(buckets, "key").select("key", "cls", "check").distinct())
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("cls")).union(crowded.select("cls")).distinct().join(classes.select("cls", "name"), "cls")
+    sets = cut(rows.select("name", "found").join(wanted, "name").groupBy("name").agg(F.first("cls").alias("cls"), F.first("found").alias("found")).select("cls", "found"))
+    groups = jaccard.groups_of(pairs, crowded, sets, apart, least=least)
     named = classes.join(groups, classes.cls == groups.node, "left").select("name", "first_id", F.coalesce("component", "cls").alias("root"))
     names = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("name", "component_id")
     return rows.select("doc_id", "name").join(names, "name").select("doc_id", "component_id")
