@@ -36,13 +36,24 @@ def actual_ranges(entries: DataFrame, by: str = "archive", book: str = "book_id"
 
 
 def new_entries(entries: DataFrame, finalised_end: int, present: DataFrame, book: str = "book_id", order: list[str] | None = None) -> DataFrame:
-    """Entries with an id beyond the finalised ones that the active archive lacks; of repeated ids the first by order."""
-    fresh = entries.where(F.col(book) > finalised_end).join(present.select(book).distinct(), book, "left_anti")
+    """Entries with an id beyond the finalised ones that the active archive lacks; of repeated ids the first by order, empty entries (size 0) left out."""
+    held = entries.where("size > 0") if "size" in entries.columns else entries
+    fresh = held.where(F.col(book) > finalised_end).join(present.select(book).distinct(), book, "left_anti")
     others = [c for c in fresh.columns if c != book]
     ranked = fresh.groupBy(book).agg(F.min_by(F.struct(*others), F.struct(*(order or others))).alias("_e"))
     return ranked.select(book, "_e.*")
 
 
+def with_last_archive(last: DataFrame, updates: DataFrame, *, finalised_end: int, target: int, size: str = "size", book: str = "book_id") -> DataFrame:
+    """New entries, after those of the last finalised archive where that has room: it is taken in whole and made anew.
+
+    last and updates have book, size and archive; updates' repeated ids go by the order of their archives.
+    """
+    fresh = new_entries(updates, finalised_end, last.select(book), book, order=["archive"])
+    used = last.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]  # one row
+    return last.select(fresh.columns).unionByName(fresh) if 0 < used < target else fresh
+
+
 def plan_archives(entries: DataFrame, target: int, size: str = "size", book: str = "book_id", used: int = 0) -> DataFrame:
     """Archives to write, as (bin, begin, end, entries, bytes, finalised): each takes entries until its size is reached.
 
