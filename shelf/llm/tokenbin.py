@@ -12,6 +12,7 @@ like any Spark output, in any store, and a lost executor leaves nothing half-wri
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -22,15 +23,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelf.llm.bpe import LATIN, byte_symbols, default_path, latin, sure
-from shelf.llm.common import cut, map_rows, new_folder, read_table
+from shelf.llm.common import map_rows, new_folder, read_table
 
-#: Bytes of records per file, aimed at; distinct pieces that a worker remembers.
-FILE_BYTES, REMEMBERED = 8 << 20, 400_000
+#: Bytes of text per file, aimed at; distinct pieces that a worker remembers.
+FILE_BYTES, REMEMBERED = 24 << 20, 400_000
+#: The most files: their edges are one constant of the plan.
+MAX_FILES = 32_768
 END_ID = 1
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<Qi")
@@ -128,29 +131,48 @@ def load_word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def _edges_below(bounds: Column, value: Column) -> Column:
+    """How many of the ascending bounds are less than a value, by halving: bounds may be many, and rows more."""
+    steps = F.sequence(F.lit(1), F.greatest(F.ceil(F.log2(F.size(bounds) + 1)).cast("int"), F.lit(1)))
+    first = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+
+    def halve(a: Column, _: Column) -> Column:
+        middle = F.floor((a["low"] + a["high"]) / 2).cast("int")
+        less = (a["low"] < a["high"]) & (F.get(bounds, middle) < value)
+        return F.struct(F.when(less, middle + 1).otherwise(a["low"]).alias("low"), F.when(less | (a["low"] >= a["high"]), a["high"]).otherwise(middle).alias("high"))
+
+    return F.aggregate(steps, first, halve, lambda a: a["low"])
+
+
 def write_tokens(df: DataFrame, folder: str, path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
                  file_bytes: int = FILE_BYTES) -> None:
     """Encode all texts and write folder/data (records in ascending id order over the files) and folder/index.
 
-    Texts are encoded where they are read, so that records of about two bytes a token are sorted, and
-    no texts. Null ids come first; rows with one id are in the order of a hash of their texts. Equal rows
-    have equal records and may stand in several files, which hold about `file_bytes` each, so that no
-    repeated row makes a file too large to read; a single record may be larger. Null and empty texts are
-    the end id alone. An empty table writes files without records. Extra columns are ignored.
+    Texts are encoded where they are read, and records of about two bytes a token go to their file, not
+    texts: which file follows from the ids alone, cut at their percentiles. Null ids come first; rows with one
+    id are in the order of a hash of their texts within a file, and an id with more rows than a file holds
+    has several, so that no repeated row makes a file too large to read; a single record may be larger.
+    Null and empty texts are the end id alone. An empty table writes files without records. Extra columns
+    are ignored. Files hold about `file_bytes` of text each, or more where they would be over MAX_FILES.
     """
     path = path or default_path("word_bpe_49k.json")
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text").cast("long") + 64)).first()[0] or 0
+    files = max(1, min(MAX_FILES, -(-total // file_bytes)))
+    shares = [(i + 1) / files for i in range(files - 1)]
+    edges = rows.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(-(1 << 63))), shares, 50 * files)).first()[0] if shares else []  # an edge per file
+    bounds = F.from_json(F.lit(json.dumps(edges or [])), "array<bigint>")  # one constant, however many
+    below = _edges_below(bounds, F.coalesce("doc_id", F.lit(-(1 << 63))))
+    equal = _edges_below(bounds, F.coalesce("doc_id", F.lit(-(1 << 63))) + F.lit(1)) - below
+    dealt = rows.withColumn("file", (below + F.pmod(F.monotonically_increasing_id(), F.greatest(equal, F.lit(1)))).cast("int")) if edges else rows.withColumn("file", F.lit(0))
 
     def make():
         bpe = load_word_bpe(path)
         end = bpe.pack([end_id])
-        return lambda doc_id, text: (frame(serialize(doc_id, bpe.encode(text) + end, bpe.width)),)
+        return lambda doc_id, text: (zlib.crc32((text or "").encode("utf-8", "surrogatepass")), frame(serialize(doc_id, bpe.encode(text) + end, bpe.width)))
 
-    records = map_rows(rows, ["doc_id", "hash"], {"record": "binary"}, make, given=["doc_id", "text"])
-    records = cut(records.withColumn("place", F.monotonically_increasing_id()))
-    total = records.agg(F.sum(F.octet_length("record").cast("long"))).first()[0] or 0
-    order = ["doc_id", "hash", "place"]
-    ordered = records.repartitionByRange(max(1, -(-total // file_bytes)), *order).sortWithinPartitions(*order)
+    records = map_rows(dealt, ["doc_id", "file"], {"hash": "long", "record": "binary"}, make, given=["doc_id", "text"])
+    ordered = records.repartitionById(files, F.col("file")).sortWithinPartitions("doc_id", "hash")
     # the writer ends each record with its line feed, and passes the other bytes on as they are
     ordered.select(F.col("record").cast("string").alias("value")).write.text(f"{folder}/data", lineSep="\n")
     index = scan_files(spark_files(df.sparkSession, folder), load_width(path))

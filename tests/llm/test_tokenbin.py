@@ -41,7 +41,7 @@ def test_records_detect_damage():
 
 def test_files_round_trip(spark, documents, tmp_path):
     folder = str(tmp_path / "tokens")
-    t.write_tokens(documents, folder, file_bytes=5_000)
+    t.write_tokens(documents, folder, file_bytes=20_000)
     got = t.read_tokens(spark, folder).collect()
     ids = {}
     rows = documents.collect()
@@ -66,12 +66,20 @@ def test_files_round_trip(spark, documents, tmp_path):
 def test_a_repeated_row_fills_no_single_file(spark, tmp_path):
     rows = spark.createDataFrame([(7, "one text again " * 50)] * 600 + [(3, "x")], "doc_id long, text string")
     folder = str(tmp_path / "hot")
-    t.write_tokens(rows.repartition(4), folder, file_bytes=20_000)
-    assert max(len(r.content) for r in t.spark_files(spark, folder).collect()) < 80_000
+    t.write_tokens(rows.repartition(4), folder, file_bytes=60_000)
+    assert max(len(r.content) for r in t.spark_files(spark, folder).collect()) < 40_000
     got = sorted(t.read_tokens(spark, folder).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == [3] + [7] * 600 and len({r.ids_crc32 for r in got}) == 2
 
 
+def test_edges_are_counted_by_halving(spark):
+    import bisect
+
+    for bounds in ([], [3], [1, 1, 5], [-9, 0, 0, 0, 7, 7, 100]):
+        frame = spark.range(-12, 104).select("id", t._edges_below(F.array(*map(F.lit, bounds)).cast("array<bigint>"), F.col("id")).alias("n"))
+        assert all(r.n == bisect.bisect_left(bounds, r.id) for r in frame.collect())
+
+
 def test_empty_table(spark, no_documents, tmp_path):
     t.write_tokens(no_documents, str(tmp_path / "none"))
     assert t.read_tokens(spark, str(tmp_path / "none")).count() == 0
