@@ -31,6 +31,10 @@ class Cache:
     def catalogue(self) -> str:
         return f"{self.root}/catalogue"
 
+    @property
+    def provenance(self) -> str:
+        return f"{self.root}/provenance"
+
     @property
     def manifest(self) -> str:
         return f"{self.root}/manifest"
@@ -45,22 +49,32 @@ def _fingerprint(settings: Settings) -> str:
     return f"{settings.parse}/{settings.content_hash}"
 
 
-def archive_decisions(spark: SparkSession, folder: str, cache: Cache, settings: Settings, rebuild: bool = False) -> DataFrame:
-    """Which archives of a folder can be read from the cache, and which must be scanned."""
+def archive_decisions(spark: SparkSession, folder: str, cache: Cache, settings: Settings, rebuild: bool = False, check_md5: bool = False) -> DataFrame:
+    """Which archives of a folder can be read from the cache, and which must be scanned; with check_md5, their whole content is compared too."""
     files = archives.archive_files(spark, folder)
-    sources = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("archive"), "path", "length", F.unix_micros("modificationTime").alias("modified"), F.lit(_fingerprint(settings)).alias("settings"))
+    content = F.md5("content") if check_md5 else F.lit(None).cast("string")
+    sources = files.select(content.alias("checksum"), F.regexp_extract("path", r"([^/]+)$", 1).alias("archive"), "path", "length", F.unix_micros("modificationTime").alias("modified"), F.lit(_fingerprint(settings)).alias("settings"))
     if _exists(spark, cache.manifest):
         held = spark.read.parquet(cache.manifest)
     else:
-        held = spark.createDataFrame([], "archive string, length long, settings string, built long")
-    return validate.manifest_decisions(sources, held, "archive", ["length", "settings"], rebuild)
+        held = spark.createDataFrame([], "archive string, length long, settings string, built long, checksum string")
+    return validate.manifest_decisions(sources, held, "archive", ["length", "settings", *(["checksum"] if check_md5 else [])], rebuild)
+
+
+def cache_ready(spark: SparkSession, folder: str, cache: Cache, settings: Settings) -> bool:
+    """Whether the cache of every archive of a folder is there, right, and newer than the archive."""
+    return archive_decisions(spark, folder, cache, settings).where("decision <> 'use'").isEmpty()
 
 
-def build_cache(spark: SparkSession, cache: Cache, settings: Settings, archive_folder: str | None = None, dump_folder: str | None = None, rebuild: bool = False) -> int:
-    """Scan new archives and read the catalogue; only archives whose facts changed are scanned again."""
+def build_cache(spark: SparkSession, cache: Cache, settings: Settings, archive_folder: str | None = None, dump_folder: str | None = None, rebuild: bool = False, *,
+                check_md5: bool = False, allow_mismatch: bool = False) -> int:
+    """Scan new archives and read the catalogue; only archives whose facts changed are scanned again.
+
+    Dumps of several dates are an error unless allowed. What the catalogue was made from is kept beside it.
+    """
     code = DONE
     if archive_folder:
-        decisions = archive_decisions(spark, archive_folder, cache, settings, rebuild)
+        decisions = archive_decisions(spark, archive_folder, cache, settings, rebuild, check_md5)
         plan = decisions.select("archive", "path", "length", "settings", "decision").collect()  # one row per archive
         if any(r["decision"] == "none" for r in plan):
             code = NOT_READY
@@ -68,10 +82,14 @@ def build_cache(spark: SparkSession, cache: Cache, settings: Settings, archive_f
         if todo:
             files = spark.read.format("binaryFile").load(todo)
             datasets.write_cache(archives.scan_archives(files, settings.parse, settings.content_hash), cache.entries, ["archive"])
-            made = spark.createDataFrame([(r["archive"], r["length"], r["settings"], time.time_ns() // 1000) for r in plan if r["decision"] == "create"], "archive string, length long, settings string, built long")
+            built = time.time_ns() // 1000
+            made = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("archive"), "length", F.lit(_fingerprint(settings)).alias("settings"), F.lit(built).cast("long").alias("built"), F.md5("content").alias("checksum"))
             datasets.write_cache(made, cache.manifest, ["archive"])
     if dump_folder:
+        listed = dumps.dump_files(spark, dump_folder)
+        dumps.dump_date(listed, allow_mismatch)
         catalogue = facets.Catalogue(dumps.read_catalogue(spark, dump_folder))
+        datasets.write_cache(dumps.import_provenance(listed, catalogue.dialect, time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), allow_mismatch), cache.provenance)
         datasets.write_cache(catalogue.record(settings.disambiguate_authors), cache.catalogue)
     return code
 
@@ -113,7 +131,8 @@ def merge(spark: SparkSession, cache: Cache, settings: Settings, dump_date: str
     if catalogue is not None and "authors" in catalogue.columns:
         people = catalogue.select(F.explode("authors").alias("p")).select(F.col("p.person_id").cast("string").alias("id"), "p.last_name", "p.first_name", "p.middle_name", "p.nick_name")
         collisions = authors.collision_groups(people)
-    header = datasets.dataset_header(rows, layouts, library=settings.library, created=time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), dump_date=dump_date, collisions=collisions, read=datasets.fb2_coverage(rows))
+    listed = dumps.provenance_sources(spark.read.parquet(cache.provenance)) if _exists(spark, cache.provenance) else None
+    header = datasets.dataset_header(rows, layouts, dumps=listed, library=settings.library, created=time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), dump_date=dump_date, collisions=collisions, read=datasets.fb2_coverage(rows))
     return datasets.Dataset(header, rows)
 
 
@@ -221,13 +240,43 @@ def new_downloads(spark: SparkSession, pages: str, folder: str, pattern: str) ->
     return rollup.new_ranges(links, pattern, last or 0).orderBy("begin")
 
 
+def decoded_sections(row: DataFrame) -> DataFrame:
+    """The sections of a looked-up row as an export of its fingerprint decodes: pos, depth, key as hex, leaf."""
+    if "fb2_sections" not in row.columns:
+        return row.where("false").select(F.lit(0).alias("pos"))
+    sections = row.select(F.lit(1).alias("book"), F.posexplode("fb2_sections").alias("pos", "s")).select("book", "pos", "s.*")
+    return inspection.decoded_fingerprints(fingerprints.encoded_fingerprints(sections)).drop("book").orderBy("pos")
+
+
+def write_merged(dataset: datasets.Dataset, path: str, settings: Settings, order: list[str]) -> str:
+    """The dataset as one file in the settings' compression; returns its path."""
+    keys = [f"_{o.replace('.', '_')}" for o in order]
+    rows = dataset.rows.select("*", *[F.col(o).alias(k) for o, k in zip(order, keys, strict=True)])
+    return datasets.write_dataset(datasets.Dataset(dataset.header, rows), path, keys, settings.compression, columns=dataset.rows.columns)
+
+
 def plan_rollup(finalised: DataFrame, active: DataFrame, updates: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
     """The archives that updates would be written to, and whether any is finalised (NEW).
 
-    All three have entries (archive, book_id, size): those in finalised archives, in the one in progress, and in updates.
+    All three have entries (archive, book_id, size): those in finalised archives, in the one in progress, and in
+    updates. Without one in progress, the last finalised archive is made anew with them if it has room.
     """
     end = finalised.agg(F.coalesce(F.max("book_id"), F.lit(0))).first()[0]
     used = active.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    fresh = rollup.new_entries(updates, end, active, order=["archive"])
-    plan = rollup.plan_archives(fresh, settings.rollup_bytes, used=used)
+    if used:
+        plan = rollup.plan_archives(rollup.new_entries(updates, end, active, order=["archive"]), settings.rollup_bytes, used=used)
+    else:
+        newest = finalised.agg(F.max_by("archive", "book_id")).first()[0]
+        last = finalised.where(F.col("archive") == F.lit(newest)) if newest else finalised.where("false")
+        plan = rollup.plan_archives(rollup.with_last_archive(last, updates, finalised_end=end, target=settings.rollup_bytes), settings.rollup_bytes)
     return plan, NEW if plan.where("finalised").limit(1).count() else DONE
+
+
+def rollup_folders(spark: SparkSession, finalised: str, updates: str, settings: Settings, active: str | None = None) -> tuple[DataFrame, int]:
+    """plan_rollup of folders of archives; entries whose names are no numbers take no part."""
+    def entries(folder: str) -> DataFrame:
+        rows = archives.scan_archives(archives.archive_files(spark, folder))
+        return rows.where("book_id > 0").select("archive", "book_id", F.col("uncompressed_size").alias("size"))
+
+    done = entries(finalised)
+    return plan_rollup(done, entries(active) if active else done.where("false"), entries(updates), settings)

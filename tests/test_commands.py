@@ -24,6 +24,7 @@ def world(spark, tmp_path_factory):
         z.writestr("1.fb2", BOOK % many(120))
         z.writestr("named.fb2", BOOK % "")
         z.writestr("x.txt", "x")
+        z.writestr("old.org", "backup")
         z.writestr("9.fb2", "broken")
     tables = {
         "libbook": (["BookId", "FileSize", "Title", "Lang", "FileType", "Deleted", "keywords"], [(1, 10, "Db one", "RU", "fb2", "0", "k"), (5, 20, "Db five", "??", "fb2", "0", ""), (7, 1, "No file", "ru", "fb2", "0", "")]),
@@ -42,7 +43,7 @@ def world(spark, tmp_path_factory):
 def test_merge_and_checks(spark, world):
     _, cache, settings = world
     dataset = commands.merge(spark, cache, settings)
-    assert dataset.header["records"] == 3 and [(a["id"], a["entries"], a["fb2_entries"]) for a in dataset.header["archives"]] == [("archive-0001", 4, 3)]
+    assert dataset.header["records"] == 3 and [(a["id"], a["entries"], a["fb2_entries"]) for a in dataset.header["archives"]] == [("archive-0001", 5, 3)]
     assert commands.check_dataset(dataset) == []
     found = commands.inspect(dataset, book_id=5).collect()
     assert len(found) == 1 and found[0].locator['index'] == 1 and found[0].match.method == "filename_alias"
@@ -58,7 +59,7 @@ def test_exports(spark, world, tmp_path):
     assert lines[0][0] == "Lee [al],Ann,:" and lines[0][2:5] == ["Db one", "Cycle", "3"] and lines[0][11] == "ru"
     assert lines[1][0] == "Lee [#11],Ann,:" and lines[1][11] == "en" and set(lines) == {0, 1}
     positional = commands.export(dataset, settings, "positional")
-    assert sorted(r["index"] for r in positional.collect()) == [0, 1, 2, 3] and positional.where("is_dummy").count() == 2
+    assert sorted(r["index"] for r in positional.collect()) == [0, 1, 2, 4] and positional.where("is_dummy").count() == 2
     cut = commands.export(dataset, settings, "slice", where="lib_id = '5'", split_by="range_name(lib_id, 10, 'x')")
     target = str(tmp_path / "out.zip")
     commands.write_export(cut, target, settings, "20260622")
@@ -97,3 +98,61 @@ def test_settings_are_strict():
     for bad in ({"x": 1}, {"language": {"y": 1}}, {"parse": "all"}, {"compression": "rar"}, {"rollup_bytes": 0}):
         with pytest.raises(ValueError):
             settings_from(bad)
+
+
+def run(capsys, *args):
+    from shelf.__main__ import main
+
+    code = main([str(a) for a in args])
+    return code, capsys.readouterr().out.strip().splitlines()
+
+
+def test_command_line(spark, world, tmp_path, capsys):
+    root, cache, _ = world
+    config = tmp_path / "config.json"
+    config.write_text(json.dumps({"library": "lib", "parse": "fingerprint", "content_hash": True, "compression": "gz"}))
+    where = tmp_path / "where.sql"
+    where.write_text("lib_id = '1'\n")
+    base = ["--config", config]
+    assert run(capsys, *base, "cache", "--cache", cache.root, "--archives", root / "zips", "--check-md5") == (commands.DONE, [])
+    code, lines = run(capsys, *base, "inspect", "--cache", cache.root, "--archives")
+    assert code == 0 and json.loads(lines[0])["ignored"] == [{"start": 3, "end": 3}] and json.loads(lines[0])["dummy"] == [{"start": 2, "end": 2}]
+    code, lines = run(capsys, *base, "inspect", "--cache", cache.root, "--ambiguous-authors")
+    assert code == 0 and json.loads(lines[0])["authors"] == ["10", "11"]
+    code, lines = run(capsys, *base, "inspect", "--cache", cache.root, "--file", "1.fb2", "--decode-fp")
+    assert code == 0 and json.loads(lines[0])["depth"] == 0 and len(json.loads(lines[0])["key_hex"]) == 32
+    assert run(capsys, *base, "inspect", "--cache", cache.root, "--validate") == (0, ["valid"])
+    assert run(capsys, *base, "inspect", "--cache", cache.root, "--book-id", 77)[0] == commands.NO_MATCH
+    code, lines = run(capsys, *base, "merge", "--cache", cache.root, "--archives", root / "zips", "--output", tmp_path / "all", "--dump-date", "20260622")
+    assert code == 0 and lines == [str(tmp_path / "all.jsonl.gz")]
+    import gzip
+
+    rows = [json.loads(x) for x in gzip.open(lines[0], "rt").read().splitlines()]
+    assert rows[0]["records"] == len(rows) - 1 == 3 and rows[0]["id"].startswith("urn:uuid:") and rows[0]["database"]["dumps"][0]["name"] == "libavtor.sql" and [r["locator"]["index"] for r in rows[1:]] == [0, 1, 4]
+    target = tmp_path / "out.zip"
+    assert run(capsys, *base, "export", "--cache", cache.root, "--output", target, "--dump-date", "20260622", "--where-file", where, "--additional")[0] == 0
+    with zipfile.ZipFile(tmp_path / "out_20260622.zip") as z:
+        assert sorted(z.namelist()) == ["archive-0001.inp", "collection.info", "structure.info", "version.info"] and z.read("archive-0001.inp").count(b"\r\n") == 1 and z.comment == b"lib_20260622"
+    assert run(capsys, *base, "export", "--cache", cache.root, "--layout", "positional", "--format", "ruks", "--output", target, "--dump-date", "20260623")[0] == 0
+    with zipfile.ZipFile(tmp_path / "out_20260623.zip") as z:
+        lines = z.read("archive-0001.inp").decode().splitlines()
+        assert len(lines) == 4 and len(lines[0].split("\x04")) == 17 and lines[2].startswith("dummy:\x04other:\x04dummy record") and lines[3].split("\x04")[7] == "5"
+    with zipfile.ZipFile(root / "zips" / "fb2-1-9.zip") as z:
+        assert len(z.namelist()) == 5
+
+
+def test_fetch_and_rollup_commands(spark, tmp_path, capsys):
+    for folder, ids in (("done/fb2-1-3.zip", (1, 2, 3)), ("new/u1.zip", (3, 5)), ("new/u2.zip", (5, 6))):
+        (tmp_path / folder).parent.mkdir(exist_ok=True)
+        with zipfile.ZipFile(tmp_path / folder, "w") as z:
+            for i in ids:
+                z.writestr(f"{i}.fb2", "x" * 10)
+            z.writestr("8.fb2", "") if "new" in folder else None
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages" / "index.html").write_text('<a href="x/fb2-1-3.zip">a</a> <a href="x/fb2-4-9.zip">b</a>')
+    code, lines = run(capsys, "fetch", "--pages", tmp_path / "pages", "--archives", tmp_path / "done")
+    assert code == 0 and [json.loads(x) for x in lines] == [{"link": "x/fb2-4-9.zip", "begin": 4, "end": 9}]
+    config = tmp_path / "config.json"
+    config.write_text(json.dumps({"rollup_bytes": 45}))
+    code, lines = run(capsys, "--config", config, "rollup", "--finalised", tmp_path / "done", "--updates", tmp_path / "new")
+    assert code == commands.NEW and [(json.loads(x)["begin"], json.loads(x)["end"], json.loads(x)["bytes"]) for x in lines] == [(1, 6, 50)]
