@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelf.functions import text as tx
 from shelf.functions import values as vl
 from shelf.operators import facets, fingerprints, inspection, validate
-from shelf.plans.catalogue import _DIGEST_SQL, _WORDS_SQL, _lines, _text64, query
+from shelf.plans.catalogue import _DIGEST_SQL, _LINES_SQL, _WORDS_SQL, _lines, _text64, query
 from shelf.session import new_folder, table
 from shelf.sources import archives, datasets, dumps
 from shelf.streaming import ingest
@@ -195,6 +195,15 @@ def fingerprint_codec(spark: SparkSession, sf: str) -> DataFrame:
     return inspection.decoded_fingerprints(fingerprints.encoded_fingerprints(_line_sections(spark, sf)))
 
 
+@query(f"""WITH {_LINES_SQL}, {_WORDS_SQL}, rolled AS (SELECT doc_id, line, word, n FROM words UNION ALL SELECT doc_id, 0, word, sum(n)::BIGINT FROM words GROUP BY doc_id, word)
+SELECT doc_id, line, count(*) AS words FROM rolled GROUP BY doc_id, line HAVING line = 0 OR count(*) >= 100""")
+def retained_sections(spark: SparkSession, sf: str) -> DataFrame:
+    """Sections with words enough to be kept, and every root."""
+    lines = _lines(spark, sf).withColumn("line", F.explode(F.array("line", F.lit(0))))
+    digests = fingerprints.section_digests(fingerprints.section_words(lines, ["doc_id", "line"], "t"), None, ["doc_id", "line"])
+    return fingerprints.retained(digests.withColumn("depth", (F.col("line") > 0).cast("int"))).select("doc_id", "line", "words")
+
+
 @query(f"""WITH {_SECTIONS_SQL} SELECT book, '[' || string_agg('[' || depth || ',"' || {_text64('hex')} || '",' || leaf || ']', ',' ORDER BY pos) || ']' AS json FROM s GROUP BY book""")
 def section_json(spark: SparkSession, sf: str) -> DataFrame:
     """Section trees as JSON."""

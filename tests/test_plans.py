@@ -5,12 +5,15 @@ from pathlib import Path
 
 import pytest
 
-from shelf.plans import catalogue
+from shelf.plans import catalogue, fields, ingestion
 from tests.oracle import SF, check
 
 ROOT = Path(__file__).resolve().parents[1]
 
 
+MODULES = (catalogue, fields, ingestion)  # all register their queries in one table
+
+
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
 def test_queries_match_their_sql(spark, name):
     check(spark, catalogue.QUERIES[name], catalogue.ORACLES[name])
@@ -23,10 +26,19 @@ def test_entry(spark):
     assert entry.queries()["export_rows"](spark, SF).limit(1).count() == 1
 
 
-def test_the_library_does_without_its_corpus_operators(tmp_path):
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_the_library_does_without_its_corpus_operators(tmp_path, pipeline):
+    """With both llm folders gone, and the pipeline's file gone or still there."""
     shutil.copytree(ROOT / "shelf", tmp_path / "shelf", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    code = "import __spark_entry__ as e; assert 'export_rows' in e.queries() and not any(q.startswith('op') and q[2].isdigit() for q in e.queries()); print('fine')"
-    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    shutil.copytree(ROOT / "tests", tmp_path / "tests", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "bench.py", *(["corpus_pipeline.py"] if pipeline else [])):
+        shutil.copy(ROOT / name, tmp_path)
+    code = """
+import __spark_entry__ as e
+assert {'export_rows', 'zip_entries', 'relations'} <= set(e.queries()) and not any(q == 'pipeline' or q.startswith('op') and q[2].isdigit() for q in e.queries())
+assert set(e.oracle_sql()) <= set(e.queries())
+import bench, tests.oracle
+print('fine')"""
     done = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip().endswith("fine"), done.stderr[-500:]
 
