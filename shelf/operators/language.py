@@ -72,6 +72,22 @@ class LanguageRules:
     names: dict[str, dict[str, str]] = field(default_factory=lambda: NAMES)
     context: tuple[ContextRule, ...] = CONTEXT_RULES
 
+    def __post_init__(self) -> None:
+        """Rules that cannot work are an error: aliases without a name or to no tag, patterns that are none, locales without names."""
+        seen: dict[str, str] = {}
+        for name, means in self.aliases.items():
+            if not _key(name) or self.tag(means) is None:
+                raise ValueError(f"alias {name!r} means {means!r}")
+            if seen.setdefault(_key(name), means) != means:
+                raise ValueError(f"alias {name!r} has two meanings")
+        for pattern in self.ignore:
+            try:
+                re.compile(pattern)
+            except re.error as error:
+                raise ValueError(f"pattern {pattern!r}: {error}") from None
+        if unknown := [x for x in self.locales if self.tag(x) is None]:
+            raise ValueError(f"unknown locales: {unknown}")
+
     def tag(self, value: str) -> str | None:
         """The base subtag of a valid tag, or None. A tag's later parts must have a tag's form."""
         parts = re.split("[-_]", value)

@@ -7,7 +7,9 @@ import io
 import json
 import os
 import zipfile
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +30,25 @@ class Dataset:
     rows: DataFrame
 
 
-def _unzipped(content: bytes) -> bytes:
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        names = z.namelist()
-        if len(names) != 1:
-            raise ValueError(f"a compressed dataset has one member, not {len(names)}")
-        return z.read(names[0])
+def _decompressed(name: str, content: bytes) -> Iterator[str]:
+    """The lines of a zstd or zip file, read as they are decompressed."""
+    if name.endswith(".zip"):
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            names = z.namelist()
+            if len(names) != 1:
+                raise ValueError(f"a compressed dataset has one member, not {len(names)}")
+            with z.open(names[0]) as stream:
+                yield from io.TextIOWrapper(stream, "utf-8", newline="\n")
+    else:
+        with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content)) as stream:
+            yield from io.TextIOWrapper(stream, "utf-8", newline="\n")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(pos, value): the lines of a text file that may be compressed, in file order.
 
-    Plain and gzip files go through Spark's text reader, zstd and zip ones through one task.
+    Plain and gzip files go through Spark's text reader, zstd and zip ones through one task, which holds
+    their compressed bytes and a block of lines at a time.
     """
     if path.endswith((".zst", ".zstd", ".zip")):
         def run(batches):
@@ -47,11 +56,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
             for pdf in batches:
                 for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                    data = _unzipped(content) if name.endswith(".zip") else zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content)).read()
-                    lines = data.decode().split("\n")
-                    lines = lines[:-1] if lines and lines[-1] == "" else lines
-                    for at in range(0, len(lines), 10_000):
-                        yield pd.DataFrame({"pos": range(at, at + len(lines[at:at + 10_000])), "value": lines[at:at + 10_000]})
+                    lines = enumerate(x.removesuffix("\n") for x in _decompressed(name, content))
+                    while block := list(islice(lines, 10_000)):
+                        yield pd.DataFrame(block, columns=["pos", "value"])
 
         return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "pos long, value string")
     return spark.read.text(path).select(F.monotonically_increasing_id().alias("pos"), "value")

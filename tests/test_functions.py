@@ -98,3 +98,12 @@ def test_dump_stamps(spark):
     assert v.output_path("a/b.inpx", "20260622") == "a/b_20260622.inpx" == v.output_path("a/b_20260622.inpx", "20260622")
     with pytest.raises(ValueError):
         v.output_path("a", "2026")
+
+
+def test_language_rules_are_checked():
+    from shelf.operators.language import LanguageRules
+
+    LanguageRules()
+    for bad in ({"aliases": {"x": "not a tag!"}}, {"aliases": {" ": "en"}}, {"aliases": {"Abc": "en", "abc": "de"}}, {"ignore": ("(",)}, {"locales": ("zz9",)}):
+        with pytest.raises(ValueError):
+            LanguageRules(**bad)
