@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelf.llm.common import filter_rows, map_rows, read_table
+from shelf.llm.common import cut, filter_rows, map_rows, read_table
 
 #: Buckets of hashed features; lengths of the beginnings that count beside the word itself.
 BUCKETS, STEMS = 1 << 20, (4, 5)
@@ -208,45 +208,78 @@ def feature_counts(texts: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, in
     return total, rows
 
 
-def train(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_positive: int = MAX_POSITIVE,
-          max_unlabelled: int = MAX_UNLABELLED, seed: int = SEED) -> Model:
+@dataclass
+class Learnt:
+    """Weights without their intercept yet, the class prior, and the texts (hash, first id) that count once."""
+
+    weights: dict[int, float]
+    prior: float
+    hot: DataFrame | None = None
+
+
+def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_positive: int = MAX_POSITIVE,
+          max_unlabelled: int = MAX_UNLABELLED, seed: int = SEED) -> Learnt:
     """Fit on confirmed toxic documents and unlabelled ones, held-out rows aside.
 
     labels has doc_id and toxic (0/1); a document counts as toxic if any of its labels says so; labels
     without an id or a mark say nothing. The class prior is the toxic share among the labelled documents.
     Of the texts of a repeated id one counts. Ids are sampled by a seeded hash, ties by id, at most
-    max_positive and max_unlabelled, for the gradient steps; feature frequencies of unlabelled text and
-    the intercept are taken over all unlabelled documents, whose number nothing bounds. To the driver go
-    the samples' hashed features, a count per feature of the confirmed texts, and a count per bin of scores.
+    max_positive and max_unlabelled, for the gradient steps; feature frequencies of unlabelled text are
+    taken over all unlabelled documents, whose number nothing bounds. To the driver go the samples' hashed
+    features and a count per feature of the confirmed texts.
     """
     marks = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     prior = marks.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     if not prior:
-        return Model()
+        return Learnt({}, 0.0)
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null").where(~held_out(F.col("doc_id")))
     picked = [r[0] for r in marks.where("toxic = 1").join(rows.select("doc_id"), "doc_id", "left_semi").orderBy(order, "doc_id").limit(max_positive).select("doc_id").collect()]
     positive = _distinct(_sampled(rows, picked, "doc_id", "text")) if picked else []
     if not positive:
-        return Model()
+        return Learnt({}, 0.0)
     in_p = _presence(positive, BUCKETS)
     wanted = np.flatnonzero(in_p >= MIN_TEXTS)
     groups = rows.groupBy(F.xxhash64("text").alias("hash")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    groups = groups.withColumn("all", F.lit(rows.count())).where(F.col("n") * HOT > F.col("all")).where("n > 1").select("hash", "first")  # fewer than HOT rows
-    once = rows.join(F.broadcast(groups), F.xxhash64("text") == F.col("hash"), "left").where("hash is null or doc_id = first").select("doc_id", "text")
+    hot = groups.withColumn("all", F.lit(rows.count())).where(F.col("n") * HOT > F.col("all")).where("n > 1").select("hash", "first")  # fewer than HOT rows
+    once = rows.join(F.broadcast(hot), F.xxhash64("text") == F.col("hash"), "left").where("hash is null or doc_id = first")
     in_u, n_u = feature_counts(once.select("text"), wanted)
     chosen = wanted[telling(in_p[wanted], len(positive), in_u, n_u)]
     others = [r[0] for r in rows.select("doc_id").distinct().orderBy(order, "doc_id").limit(max_unlabelled).collect()]
-    model = fit(positive, _sampled(rows, others, "doc_id", "text"), float(prior), chosen=chosen)
-    if not model.weights:
-        return model
+    return Learnt(fit(positive, _sampled(rows, others, "doc_id", "text"), float(prior), chosen=chosen).weights, min(float(prior), 0.99), hot)
+
+
+def weigh_documents(documents: DataFrame, learnt: Learnt, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, counted and z of every row: the sum of its features' weights, and whether the intercept is set by it."""
+    rows = documents.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    own = F.col("doc_id").isNotNull() & ~F.col("held_out")
+    if learnt.hot is not None:
+        rows = rows.join(F.broadcast(learnt.hot), F.xxhash64("text") == F.col("hash"), "left")
+        own = own & (F.col("hash").isNull() | (F.col("doc_id") == F.col("first")))
+    rows = rows.select("doc_id", "held_out", F.coalesce(own, F.lit(False)).alias("counted"), "text")
+
+    weights = learnt.weights
 
     def make():
-        weigh = model.weigher()
-        return lambda text: (round(weigh(text) / BIN),)
+        weigh = Model(weights, 0.0).weigher()
+        return lambda text: (weigh(text),)
+
+    return map_rows(rows, ["doc_id", "held_out", "counted"], {"z": "double"}, make)
 
-    binned = map_rows(once, [], {"bin": "long"}, make, given=["text"]).groupBy("bin").agg(F.count("*").alias("n")).toArrow()
-    return Model(model.weights, intercept(binned.column("bin").to_numpy() * BIN, binned.column("n").to_numpy().astype(float), min(float(prior), 0.99)))
+
+def calibrated(learnt: Learnt, weighed: DataFrame) -> Model:
+    """The model whose mean score over the counted rows is the class prior; a count per bin of z goes to the driver."""
+    if not learnt.weights:
+        return Model()
+    binned = weighed.where("counted").groupBy(F.round(F.col("z") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n")).toArrow()
+    return Model(learnt.weights, intercept(binned.column("bin").to_numpy() * BIN, binned.column("n").to_numpy().astype(float), learnt.prior))
+
+
+def train(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_positive: int = MAX_POSITIVE,
+          max_unlabelled: int = MAX_UNLABELLED, seed: int = SEED) -> Model:
+    """The model of a corpus and its labels (see learn), its intercept set over all unlabelled documents."""
+    learnt = learn(documents, labels, id_col=id_col, text_col=text_col, max_positive=max_positive, max_unlabelled=max_unlabelled, seed=seed)
+    return calibrated(learnt, weigh_documents(documents, learnt, id_col=id_col, text_col=text_col)) if learnt.weights else Model()
 
 
 def score_documents(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -274,6 +307,10 @@ def keep_clean(documents: DataFrame, model: Model, *, text_col: str = "text") ->
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents scored by a model of this corpus."""
+    """All documents scored by a model of this corpus; each is weighed once, for the intercept and its score."""
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    return score_documents(documents, train(documents, labels))
+    learnt = learn(documents, labels)
+    weighed = cut(weigh_documents(documents, learnt))
+    model = calibrated(learnt, weighed)
+    score = 1 / (1 + F.exp(-(F.col("z") + F.lit(model.bias)))) if model.weights else F.lit(0.0)
+    return weighed.select("doc_id", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))

@@ -93,6 +93,14 @@ def test_scores_are_sums_of_word_weights(spark, documents):
             assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9
 
 
+def test_the_query_scores_as_the_model_does(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    want = {r.doc_id: r for r in t.score_documents(docs, t.train(docs, labels)).collect()}
+    got = t.op7_toxicity(spark, sf).collect()
+    assert len(got) == len(want) and all(abs(r.score - want[r.doc_id].score) < 1e-9 and r.predicted == want[r.doc_id].predicted and r.held_out == want[r.doc_id].held_out for r in got)
+
+
 def test_copies_and_columns_of_any_name(spark):
     docs = corpus(spark, 600)
     hot = docs.limit(1).withColumn("doc_id", F.explode(F.sequence(F.lit(10_000).cast("long"), F.lit(10_400).cast("long"))))
