@@ -237,6 +237,17 @@ def dataset_formats(spark: SparkSession, sf: str) -> DataFrame:
     return found
 
 
+@query("""SELECT c_custkey AS id, '{"id":' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN ',"name":"' || c_name || '"' ELSE '' END || CASE WHEN c_custkey % 3 = 0 THEN ',"nested":{"a":"x"}' ELSE '' END
+|| CASE WHEN c_custkey % 4 = 0 THEN ',"items":[{"b":"y"},{}]' ELSE '' END || '}' AS json FROM customer""")
+def record_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Records as JSON without what is empty in them."""
+    key, empty = F.col("c_custkey"), F.array().cast("array<struct<b:string>>")
+    item = lambda t: F.struct(F.lit(t).alias("b"))
+    rows = table(spark, sf, "customer").select(key.alias("id"), F.when(key % 2 == 0, F.col("c_name")).otherwise("").alias("name"), F.struct(F.when(key % 3 == 0, "x").otherwise("").alias("a")).alias("nested"),
+                                               F.when(key % 4 == 0, F.array(item("y"), item(""))).otherwise(empty).alias("items"))
+    return rows.select("id", F.to_json(F.struct(*[datasets.compacted(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema.fields])).alias("json"))
+
+
 @query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey END AS o_custkey FROM orders")
 def cache_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """A cache of which one partition was made anew; the others stay."""

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from itertools import islice
 
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelf.functions.values import dataset_id
 from shelf.operators.inspection import coverage
@@ -125,15 +126,32 @@ def _compressed(target: str, compression: str):
     raise ValueError(f"unknown compression {compression!r}")
 
 
+def compacted(value: Column, kind: T.DataType, inside: bool = False) -> Column:
+    """A value without what says nothing: empty texts, arrays, maps and structs are null, at any depth; an array's own members stay."""
+    if isinstance(kind, T.StringType):
+        return value if inside else F.nullif(value, F.lit(""))
+    if isinstance(kind, T.ArrayType):
+        kept = F.transform(value, lambda x: compacted(x, kind.elementType, inside=True)) if isinstance(kind.elementType, (T.StructType, T.ArrayType)) else value
+        return kept if inside else F.when(F.size(value) > 0, kept)
+    if isinstance(kind, T.MapType):
+        return value if inside else F.when(F.size(value) > 0, value)
+    if isinstance(kind, T.StructType):
+        fields = [compacted(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        told = F.coalesce(*[F.when(f.isNotNull(), F.lit(True)) for f in fields])
+        return F.when(value.isNotNull() if inside else told, F.struct(*fields))
+    return value
+
+
 def write_dataset(dataset: Dataset, path: str, order: list[str], compression: str = "zst", columns: list[str] | None = None) -> str:
-    """One ordered file, published by a rename; returns its path. Rows stream through the driver one partition at a time.
+    """One ordered file, published by a rename; returns its path. Rows stream through the driver one partition at a time, without what is empty in them.
 
     This is an export for other programs. Spark's own copies of datasets are Parquet (write_cache).
     """
     base = next((path[: -len(s)] for s in sorted(SUFFIXES, key=len, reverse=True) if path.endswith(s)), path)
     target = base + {"none": ".jsonl", "gz": ".jsonl.gz", "zst": ".jsonl.zst", "zip": ".jsonl.zip"}[compression]
     rows = dataset.rows.select(*(columns or [c for c in dataset.rows.columns if c != "pos"]), *[F.col(o) for o in order if o not in (columns or dataset.rows.columns)])
-    lines = rows.orderBy(*order).select(F.to_json(F.struct(*(columns or rows.columns))).alias("value"))
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    lines = rows.orderBy(*order).select(F.to_json(F.struct(*[compacted(F.col(c), kinds[c]).alias(c) for c in (columns or rows.columns)])).alias("value"))
     hidden = os.path.join(os.path.dirname(target) or ".", f".{os.path.basename(target)}.part")
     try:
         with _compressed(hidden, compression) as out:
