@@ -2,8 +2,8 @@
 
 Sets are distributed tables of sorted 32-bit hashes. Pairs are verified in rounds, so that a group of n
 similar texts costs about n comparisons and not all its pairs: each text with the least that it may be
-near to, then with the least of another group, and at last all that is still in different groups.
-Crowded buckets, whose pairs are never listed, take part through one member a round.
+near to, then with the least of another group, and at last all that is still in different groups. Pairs
+are never listed before that, only the buckets that the search has put texts into.
 """
 
 from __future__ import annotations
@@ -84,42 +84,36 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return rows.repartition("src", "part").sortWithinPartitions("src", "part", "other").drop("other").mapInArrow(run, "src long, dst long")
 
 
-def groups_of(pairs: DataFrame, crowded: DataFrame, sets: DataFrame, apart: Callable[[Column, Column], Column], *, least: float = SIMILARITY) -> DataFrame:
+def groups_of(probing: DataFrame, entered: DataFrame, sets: DataFrame, apart: Callable[[Column, Column], Column], *, least: float = SIMILARITY) -> DataFrame:
     """(node, component): the classes that links join, given what a search proposes.
 
-    pairs has distinct (src, dst); crowded has (key, cls, check), buckets in which any two members may be
-    near if apart(check, check) says so; sets has (cls, found) of all of these. A pair is compared unless
-    links found before join its ends, so nothing is lost, and a group of similar texts costs few comparisons.
+    Both have (key, cls, check): who looks a bucket up, and who is in it. One of the first and one of the second
+    may be near in a common bucket if apart(check, check) says so; sets has (cls, found) of all. Such a pair is compared
+    unless links found before join its ends, so nothing is lost, and a group of similar texts costs few comparisons.
     """
-    session, kind = pairs.sparkSession, "node long, component long"
+    session, kind = probing.sparkSession, "node long, component long"
     groups, links, tried = session.createDataFrame([], kind), session.createDataFrame([], "src long, dst long"), session.createDataFrame([], "src long, dst long")
-    named = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-
-    def placed() -> DataFrame:
-        """Crowded members with their component."""
-        return crowded.join(groups, crowded.cls == groups.node, "left").select("key", "cls", "check", F.coalesce("component", "cls").alias("component"))
-
-    def across() -> DataFrame:
-        """Pairs whose ends no link joins yet."""
-        return pairs.join(named("src"), "src", "left").join(named("dst"), "dst", "left").where(F.coalesce("of_src", "src") != F.coalesce("of_dst", "dst")).select("src", "dst")
-
-    def met(some: DataFrame, others: DataFrame) -> DataFrame:
-        """Members of buckets with members of others' components, where their checks are near."""
-        left = some.select("key", F.col("cls").alias("a"), F.col("check").alias("check_a"), F.col("component").alias("of_a"))
-        joined = others.join(left, "key").where((F.col("component") != F.col("of_a")) & (F.col("cls") != F.col("a")) & apart(F.col("check"), F.col("check_a")))
-        return joined.select(F.least("a", "cls").alias("src"), F.greatest("a", "cls").alias("dst"))
-
-    for last in [False] * ROUNDS + [True]:
-        members = placed()
-        lead = members.groupBy("key").agg(F.min("component").alias("lead"), F.max("component").alias("other")).where("lead <> other").select("key", "lead")
-        mixed = members.join(lead, "key")
-        beside = mixed.where("component <> lead")
-        some = beside if last else beside.groupBy("key").agg(F.min(F.struct("cls", "check", "component")).alias("m")).select("key", "m.*")
-        cold = across()
-        asked = cold if last else cold.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst")
-        asked = cut(asked.union(met(some, mixed.drop("lead"))).distinct().join(tried, ["src", "dst"], "left_anti"))
-        if asked.isEmpty():
-            break
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """Rows with their class's component."""
+        return rows.join(groups, rows.cls == groups.node, "left").select("key", "cls", "check", F.coalesce("component", "cls").alias("component"))
+
+    for turn in range(ROUNDS + 1):
+        left, right = placed(probing), placed(entered)
+        if turn:  # buckets that one group has to itself are done
+            both = left.union(right).groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+            left, right = left.join(both, "key", "left_semi"), right.join(both, "key", "left_semi")
+        if turn < ROUNDS:  # one of each group in a bucket stands for it, and at first one for all
+            right = right.groupBy("key", *(["component"] if turn else [])).agg(F.min(F.struct("cls", "check", "component")).alias("m")).select("key", "m.cls", "m.check", "m.component")
+        right = right.select(F.col("key").alias("of"), F.col("cls").alias("met"), F.col("check").alias("met_check"), F.col("component").alias("met_component"))
+        near = (F.col("key") == F.col("of")) & (F.col("component") != F.col("met_component")) & apart(F.col("check"), F.col("met_check"))
+        met = left.join(right, near)
+        if turn < ROUNDS:
+            met = met.groupBy("cls").agg(F.min("met").alias("met"))
+        asked = met.select(F.least("cls", "met").alias("src"), F.greatest("cls", "met").alias("dst")).distinct()
+        asked = cut(asked.join(tried, ["src", "dst"], "left_anti") if turn else asked)
+        if asked.isEmpty() and turn < ROUNDS:
+            continue
         found = cut(_verified(asked, sets, least))
         tried = tried.union(asked)
         if not found.isEmpty():

@@ -32,10 +32,6 @@ SHINGLE, MAX_BITS = 3, 3
 SUMS, FLIPS, CHECK_BITS, SEED = 4096, 3, 20, 17
 #: The planned share of links at the least similarity that no segment meets, and what hashing to sums may add to the cosine's angle.
 MISSED, SLACK = 0.002, 0.01
-#: A segment's value that more fingerprints than this share is a crowded bucket.
-HOT_SEGMENT = 64
-#: Up to this many crowded buckets (8 bytes each) are broadcast.
-SMALL_BUCKETS = 1 << 20
 #: A half that more fingerprints than this share is looked up by finer keys too.
 HOT_HALF = 2048
 
@@ -225,15 +221,14 @@ def _ball(packed: Column) -> Column:
     return F.array(*values)
 
 
-def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = jaccard.SHINGLE, least: float = jaccard.SIMILARITY,
-                      hot: int = HOT_SEGMENT) -> DataFrame:
+def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = jaccard.SHINGLE, least: float = jaccard.SIMILARITY) -> DataFrame:
     """(doc_id, component_id): the group of every row with an id, linked by the Jaccard similarity of word shingles, named by its smallest id.
 
     Links are verified on whole sets, so none is false; two texts of one size at exactly the least
     similarity miss each other with a probability of about MISSED, more similar ones with far less. Texts
     with equal sets are one class and never compared. Null and wordless texts are one group. Repeated
-    rows are kept; extra columns are ignored; an empty table gives no rows. A segment's value that over
-    `hot` classes share is a crowded bucket, whose pairs are never listed.
+    rows are kept; extra columns are ignored; an empty table gives no rows. Pairs within a group are never
+    listed, only who meets anyone in which bucket.
     """
     texts = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bits = segment_bits(texts.select("doc_id").count())
@@ -244,16 +239,14 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table = entries.select(F.col("cls").alias("met"), F.col("check").alias("met_check"), _segment(F.col("packed")).alias("key"))
     probes = entries.select("cls", "check", F.explode(_ball(F.col("packed"))).alias("key"))
     apart = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= CHECK_BITS
-    buckets = cut(table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
-    some = buckets.count()
-    buckets = F.broadcast(buckets) if some <= SMALL_BUCKETS else buckets
-    cold = table.join(buckets, "key", "left_anti") if some else table
-    pairs = probes.join(cold, "key").where((F.col("cls") != F.col("met")) & apart(F.col("check"), F.col("met_check")))
-    pairs = cut(pairs.select(F.least("cls", "met").alias("src"), F.greatest("cls", "met").alias("dst")).distinct())
-    crowded = cut(probes.join(buckets, "key").select("key", "cls", "check").distinct())
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("cls")).union(crowded.select("cls")).distinct().join(classes.select("cls", "name"), "cls")
+    apart = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= CHECK_BITS
+    meets = (F.col("cls") != F.col("met")) & apart(F.col("check"), F.col("met_check"))
+    # rows that meet any other, not the pairs: a group of n copies has n rows a bucket, and foreign rows of a bucket go
+    probing = cut(probes.join(table, (probes.key == table.key) & meets, "left_semi"))
+    entered = cut(table.join(probing, (probing.key == table.key) & meets, "left_semi").select("key", F.col("met").alias("cls"), F.col("met_check").alias("check")))
+    wanted = probing.select("cls").union(entered.select("cls")).distinct().join(classes.select("cls", "name"), "cls")
     sets = cut(rows.select("name", "found").join(wanted, "name").groupBy("name").agg(F.first("cls").alias("cls"), F.first("found").alias("found")).select("cls", "found"))
-    groups = jaccard.groups_of(pairs, crowded, sets, apart, least=least)
+    groups = jaccard.groups_of(probing, entered, sets, apart, least=least)
     named = classes.join(groups, classes.cls == groups.node, "left").select("name", "first_id", F.coalesce("component", "cls").alias("root"))
     names = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("name", "component_id")
     return rows.select("doc_id", "name").join(names, "name").select("doc_id", "component_id")

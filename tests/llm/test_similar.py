@@ -53,8 +53,7 @@ def test_groups_match_brute_force(spark):
     rows = corpus()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
-    for hot in (64, 1):
-        assert {r.doc_id: r.component_id for r in j.similar_documents(frame, hot=hot).collect()} == want
+    assert {r.doc_id: r.component_id for r in j.similar_documents(frame).collect()} == want
 
 
 def test_recall_at_the_least_similarity():
