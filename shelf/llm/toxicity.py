@@ -38,7 +38,7 @@ STEPS, RATE, DECAY, SEED = 600, 0.05, 1e-4, 11
 KEEP = 0.15
 #: Scores from here on are toxic.
 CUT = 0.3
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 _WORD = re.compile(r"\w+")
 
 
