@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelf.operators.ranges import greedy_bins
+from shelf.operators.ranges import stream_bins
 
 
 def range_of(name: Column, pattern: str) -> Column:
@@ -59,8 +59,7 @@ def plan_archives(entries: DataFrame, target: int, size: str = "size", book: str
 
     `used` is the size that the archive in progress already has. The last bin is not finalised unless full.
     """
-    binned = greedy_bins(entries.withColumns({"_all": F.lit(1), "_left": F.lit(target - used)}), ["_all"], [book], size, target, "_left")
-    bins = binned.groupBy("bin").agg(F.min(book).alias("begin"), F.max(book).alias("end"), F.count("*").alias("entries"), F.sum(size).alias("bytes"))
+    bins = stream_bins(entries, [book], size, target, target - used).groupBy("bin").agg(F.min(book).alias("begin"), F.max(book).alias("end"), F.count("*").alias("entries"), F.sum(size).alias("bytes"))
     room = F.when(F.col("bin") == 0, target - used).otherwise(target)
     return bins.withColumn("finalised", F.col("bytes") >= room)
 

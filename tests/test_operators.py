@@ -239,3 +239,36 @@ def test_rollup_selection(spark):
     fresh = rollup.new_entries(entries, 100, spark.createDataFrame([(102,)], "book_id long"), order=["archive"])
     assert rows(fresh, "book_id", "archive") == [(101, "u1")]
     assert rows(rollup.actual_ranges(entries), "archive", "begin", "end", "entries") == [("u1", 50, 102, 3), ("u2", 101, 101, 1)]
+
+
+def folded(sizes, target, first):
+    """Bins by the rule itself, row after row: (first place, last place, entries, bytes) each."""
+    bins, left = [], first
+    for at, size in enumerate(sizes):
+        if not bins or left <= 0:
+            left = target if bins else first
+            bins.append([at, at, 0, 0])
+        bins[-1] = [bins[-1][0], at, bins[-1][2] + 1, bins[-1][3] + size]
+        left -= size
+    return [tuple(b) for b in bins]
+
+
+@pytest.mark.parametrize("most, target, used", [(9, 40, 7), (9, 3000, 0), (1, 7, 0), (50, 20, 25), (9, 100_000, 90_000), (9, 1, 0)])
+def test_one_stream_is_binned_without_one_task_for_all(spark, most, target, used):
+    draw = random.Random(most * target)
+    sizes = [draw.randint(0, most) for _ in range(2000)]
+    entries = spark.createDataFrame(draw.sample(list(enumerate(sizes)), len(sizes)), "book_id long, size long")
+    plan = rollup.plan_archives(entries, target, used=used)
+    assert [tuple(r) for r in plan.orderBy("bin").select("begin", "end", "entries", "bytes").collect()] == folded(sizes, target, target - used)
+    binned = ranges.stream_bins(entries, ["book_id"], "size", target, target - used)
+    assert binned.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).max() < len(sizes) / 2
+    assert "collect_list" not in plan._jdf.queryExecution().toString()
+
+
+def test_streams_without_rows_or_sizes(spark):
+    entries = spark.createDataFrame([(1, None), (2, 5), (3, None), (4, 5), (None, 5)], "book_id long, size int")
+    assert ranges.stream_bins(entries.where("false"), ["book_id"], "size", 10).collect() == []
+    binned = ranges.stream_bins(entries, ["book_id"], "size", 10)
+    assert sorted(binned.collect(), key=lambda r: r.book_id or 0) == [(None, 5, 0), (1, None, 0), (2, 5, 0), (3, None, 1), (4, 5, 1)] and dict(binned.dtypes) == {"book_id": "bigint", "size": "int", "bin": "int"}
+    with pytest.raises(ValueError):
+        ranges.stream_bins(entries, ["book_id"], "size", 0)
