@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -59,6 +61,23 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's pool and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of batches, which gives memory back at its end: Spark keeps a task's Python worker for later ones, with all that it holds."""
+
+    def lean_run(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return lean_run
+
+
 def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callable[[], Callable], rows: int = 0, given: list[str] | None = None) -> DataFrame:
     """Columns `kept` as they are, and `added` (name -> SQL type), computed from the columns `given`: by default those not kept.
 
@@ -85,7 +104,7 @@ def map_rows(df: DataFrame, kept: list[str], added: dict[str, str], make: Callab
                 made = [one(*v) for v in zip(*values, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in at_kept] + [pa.array([r[i] for r in made], arrow[t]) for i, t in enumerate(added.values())], names=names)
 
-    return df.toDF(*[f"c{i}" for i in range(len(kinds))]).mapInArrow(run, schema).toDF(*kept, *added)
+    return df.toDF(*[f"c{i}" for i in range(len(kinds))]).mapInArrow(lean(run), schema).toDF(*kept, *added)
 
 
 def filter_rows(df: DataFrame, given: str, make: Callable[[], Callable]) -> DataFrame:
@@ -102,4 +121,4 @@ def filter_rows(df: DataFrame, given: str, make: Callable[[], Callable]) -> Data
             yield batch.filter(pa.array([passes(v) for v in batch.column(at_given).to_pylist()], pa.bool_()))
 
     placed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # columns go by place, so that they may have any name
-    return placed.mapInArrow(run, placed.schema).toDF(*df.columns)
+    return placed.mapInArrow(lean(run), placed.schema).toDF(*df.columns)

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelf.llm.common import cut
+from shelf.llm.common import cut, lean
 
 #: Edges that one local pass holds at a time.
 BLOCK_EDGES = 200_000
 
 
-def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep a spanning forest of each block of edges: connectivity stays, cycles go."""
-    held: list[pd.DataFrame] = []
+    held: list[pa.RecordBatch] = []
     size = 0
 
-    def flush() -> pd.DataFrame:
+    def flush() -> pa.RecordBatch:
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -27,17 +27,17 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 parent[x] = x = parent[p] if p in parent else p
             return x
 
-        block = pd.concat(held)
-        for a, b in zip(block["src"].tolist(), block["dst"].tolist(), strict=True):
-            a, b = root(a), root(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
+        for batch in held:
+            for a, b in zip(batch.column("src").to_pylist(), batch.column("dst").to_pylist(), strict=True):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
         pairs = [(x, r) for x in parent if (r := root(x)) != x]
-        return pd.DataFrame(pairs, columns=["src", "dst"]).astype("int64")
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["src", "dst"])
 
-    for pdf in batches:
-        held.append(pdf)
-        size += len(pdf)
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
         if size >= BLOCK_EDGES:
             yield flush()
             held, size = [], 0
@@ -61,7 +61,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     cut by a checkpoint. No edges give no rows. Null ends are dropped.
     """
     edges = edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).where("src <> dst")
-    edges = cut(edges.mapInPandas(_forest, "src long, dst long").distinct())
+    edges = cut(edges.mapInArrow(lean(_forest), "src long, dst long").distinct())
     before = None
     for _ in range(max_rounds):
         both = edges.union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelf.llm.common import cut
+from shelf.llm.common import cut, lean
 from shelf.llm.components import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -81,7 +81,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             yield batch.select(["src", "dst"]).take(pa.array(hit, pa.int64()))
 
     rows = centres.union(members).withColumn("other", F.col("src") != F.col("dst"))
-    return rows.repartition("src", "part").sortWithinPartitions("src", "part", "other").drop("other").mapInArrow(run, "src long, dst long")
+    return rows.repartition("src", "part").sortWithinPartitions("src", "part", "other").drop("other").mapInArrow(lean(run), "src long, dst long")
 
 
 def groups_of(probing: DataFrame, entered: DataFrame, sets: DataFrame, apart: Callable[[Column, Column], Column], *, least: float = SIMILARITY) -> DataFrame:

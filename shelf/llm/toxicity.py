@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelf.llm.common import cut, filter_rows, map_rows, read_table
+from shelf.llm.common import SLICE, cut, filter_rows, lean, map_rows, read_table
 
 #: Buckets of hashed features; lengths of the beginnings that count beside the word itself.
 BUCKETS, STEMS = 1 << 20, (4, 5)
@@ -185,7 +185,7 @@ def feature_counts(texts: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rows, known = np.zeros(len(wanted), np.int64), 0, {}
         place = {int(b): i for i, b in enumerate(wanted)}
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
             rows += len(batch)
             for text in batch.column(0).to_pylist():
                 seen: set[int] = set()
@@ -200,7 +200,7 @@ def feature_counts(texts: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, in
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], rows))], ["at", "n"])
 
     total, rows = np.zeros(len(wanted), np.int64), 0
-    for r in texts.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # a row per wanted bucket
+    for r in texts.mapInArrow(lean(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # a row per wanted bucket
         if r.at < 0:
             rows = r.n
         else:
