@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
+from shelf.llm import jaccard
 from shelf.llm import simhash as j
 
 
@@ -88,3 +89,38 @@ def test_awkward_rows_and_an_empty_table(documents, no_documents):
     assert ids.count(None) == 2 and len(ids) - 2 == len(set(ids) - {None})
     assert j.similar_documents(no_documents).count() == 0
     assert j.deduplicate(no_documents).count() == 0
+
+
+def crowd(n=150):
+    """A text's n copies of which each has its own words, so that some pairs are above 0.8 and most not."""
+    rng, base = random.Random(8), [f"c{i}" for i in range(240)]
+    return [(i, edited(rng, base, 5 if i % 3 else 2)) for i in range(n)]
+
+
+def test_a_forest_of_near_sets_joins_what_all_near_pairs_join():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 32, 9_000, np.uint32)  # over one block of columns
+    sets = [np.unique(np.append(rng.permutation(base)[: len(base) - k], rng.integers(0, 1 << 32, k, np.uint32))) for k in (0, 300, 900, 1100, 5000) for _ in range(4)]
+    near = {(i, k) for i, a in enumerate(sets) for k, b in enumerate(sets) if jaccard._near(a, b, 0.8)}
+    found = jaccard.near_forest(sets, sets, 0.8)
+    assert set(found) <= near and len(found) < 2 * len(sets) < len(near)
+    parent = list(range(2 * len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, k in found:
+        parent[root(i)] = root(len(sets) + k)
+    assert all(root(i) == root(len(sets) + k) for i, k in near)
+
+
+def test_a_crowd_is_compared_in_tiles_and_not_as_rows_of_pairs(spark, monkeypatch):
+    rows, asked = crowd(), []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "BLOCK", 40)  # several tiles
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a: asked.append(pairs.count()) or verified(pairs, *a))
+    got = {r.doc_id: r.component_id for r in j.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and len(set(got.values())) > 2
+    assert sum(asked) < 4 * len(rows)
