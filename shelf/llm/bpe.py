@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a public vocabulary: long texts as trees of halves.
 
 A long text is cut into halves, and these again, wherever the cuts fall. Leaves are encoded on their
-own: cut into pieces as the vocabulary's pre-tokenizer cuts them, each distinct short piece encoded once
-per worker. Every join is then mended by encoding a growing window of pieces around it again, until the
+own: cut into pieces as the vocabulary's pre-tokenizer cuts them, distinct short pieces remembered while
+a task runs. Every join is then mended by encoding a growing window of pieces around it again, until the
 window's outermost pieces on both sides are those that were there. That makes the whole exact: the
 pattern that cuts pieces looks ahead only, and no farther than into the next piece, so what stands
 before an agreed piece and what follows one is cut as in the whole text. A piece that is long itself is
@@ -16,7 +16,6 @@ import hashlib
 import json
 import re
 import unicodedata
-from functools import lru_cache
 from itertools import chain
 
 import regex
@@ -24,12 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelf.llm.common import map_rows, read_table
+from shelf.llm.common import give_back, map_rows, read_table
 
 #: Texts of more characters are encoded as trees with leaves of at most that many, and so are pieces of more bytes.
 TEXT_LEAF, LEAF = 4096, 1024
-#: Distinct pieces that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Distinct pieces that a task remembers before it starts anew.
+REMEMBERED = 100_000
 
 #: The pattern by which the vocabulary's pre-tokenizer splits.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -182,10 +181,11 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
-@lru_cache(2)
 def load_byte_bpe(path: str) -> ByteBpe:
-    """One vocabulary per worker."""
-    return ByteBpe(path)
+    """A vocabulary for one task: Spark keeps a task's Python worker for other stages, which would hold it and its pieces beside their own."""
+    found = ByteBpe(path)
+    give_back()  # what reading the file took
+    return found
 
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:

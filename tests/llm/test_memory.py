@@ -27,3 +27,14 @@ print(held() - before < 30_000_000)"""
 def test_workers_of_the_near_duplicate_stage_do_without_pandas():
     code = "import shelf.llm.toxicity, shelf.llm.simhash, sys; print('pandas' in sys.modules)"
     assert subprocess.run([sys.executable, "-B", "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=60).stdout.strip() == "False"
+
+
+def test_a_worker_keeps_no_vocabulary_after_its_task():
+    import gc
+    import weakref
+
+    from shelf.llm import bpe
+
+    held = weakref.ref(bpe.load_byte_bpe(bpe.default_path()))
+    gc.collect()
+    assert held() is None
